@@ -17,8 +17,13 @@ def top_per_key(df: DataFrame, keys, order, k: int, rank: str = "rank") -> DataF
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
 
 
+def by_score(key: str, item: str, score: str = "score"):
+    """Best first; scores equal to nine decimals tie and the smaller item wins."""
+    return Window.partitionBy(key).orderBy(F.desc(F.round(score, 9)), F.asc(item))
+
+
 def rank_recs(df: DataFrame, key: str, k: int, item="productId", score="score") -> DataFrame:
-    return top_per_key(df, key, [F.desc(score), F.asc(item)], k)
+    return top_per_key(df, key, [F.desc(F.round(score, 9)), F.asc(item)], k)
 
 
 def pack_recs(ranked: DataFrame, key: str, item="productId", score="score") -> DataFrame:
@@ -40,8 +45,7 @@ def pack_pages(
     Page ``n`` holds ranks ``n * page_size + 1 ...``; no list is cut and no task
     holds more than one page.
     """
-    window = Window.partitionBy(key).orderBy(F.desc(score), F.asc(item))
-    ranked = df.withColumn("rank", F.row_number().over(window)).withColumn(
+    ranked = df.withColumn("rank", F.row_number().over(by_score(key, item, score))).withColumn(
         "page", F.floor((F.col("rank") - 1) / page_size).cast("int")
     )
     entry = F.struct("rank", F.col(item).alias("productId"), F.col(score).alias("score"))

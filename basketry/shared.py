@@ -40,3 +40,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 def ship(module_name: str) -> None:
     """Send a module's functions inside the task, so executors need no installed copy."""
     cloudpickle.register_pickle_by_value(sys.modules[module_name])
+
+
+def use_checkpoints(spark: SparkSession) -> None:
+    """Let iterative algorithms cut their lineage in the shared folder."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(f"{shared_dir(spark)}/basketry/checkpoints")
