@@ -96,10 +96,14 @@ def tfidf_weights(words: DataFrame) -> DataFrame:
 def profile_similarity(
     weights: DataFrame,
     min_sim: float = settings.MIN_SIMILARITY,
-    block: int = settings.TILE_PROFILES,
+    block: int | None = None,
 ) -> DataFrame:
     """``(profile1, profile2, score)``, ``profile1 < profile2``, score above ``min_sim``."""
     vectors = shared.stage(_prefixed_vectors(weights, min_sim), "vectors")
+    if block is None:
+        # Longer vectors go in smaller blocks: a block's size in terms is bounded.
+        longest = vectors.agg(F.max(F.size("terms"))).first()[0] or 1
+        block = max(1, min(settings.TILE_PROFILES, settings.TILE_TERMS // longest))
     holders = vectors.select("profileId", F.explode("prefix").alias("term"))
     groups = (
         holders.groupBy("term")

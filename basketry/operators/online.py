@@ -2,6 +2,8 @@
 
 ``sim`` is the long similarity table ``(product1, product2, score)`` in both directions
 with whole lists: a list cut to its best k would lose the score of (candidate, recent).
+A stored table may carry ``place``, the rank in the list; otherwise it is worked out for
+the lists asked for.
 """
 
 from pyspark.sql import DataFrame
@@ -36,9 +38,9 @@ def candidates(
     bounded = users.join(depth, "userId", "left").withColumn(
         "depth", F.coalesce("n_seen", F.lit(0)) + k
     )
-    lists = sim.join(users.select("product1").distinct(), "product1", "left_semi").withColumn(
-        "place", F.row_number().over(ranking.by_score("product1", "product2"))
-    )
+    lists = sim.join(users.select("product1").distinct(), "product1", "left_semi")
+    if "place" not in sim.columns:
+        lists = ranking.list_rank(lists, "product1", "product2", rank="place")
     near = (
         bounded.join(lists, "product1")
         .where(F.col("place") <= F.col("depth"))

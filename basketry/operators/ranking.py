@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry import settings
+from basketry import settings, shared
 
 
 def top_per_key(df: DataFrame, keys, order, k: int, rank: str = "rank") -> DataFrame:
@@ -17,11 +17,6 @@ def top_per_key(df: DataFrame, keys, order, k: int, rank: str = "rank") -> DataF
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
 
 
-def by_score(key: str, item: str, score: str = "score"):
-    """Best first; scores equal to nine decimals tie and the smaller item wins."""
-    return Window.partitionBy(key).orderBy(F.desc(F.round(score, 9)), F.asc(item))
-
-
 def rank_recs(df: DataFrame, key: str, k: int, item="productId", score="score") -> DataFrame:
     return top_per_key(df, key, [F.desc(F.round(score, 9)), F.asc(item)], k)
 
@@ -37,6 +32,32 @@ def pack_recs(ranked: DataFrame, key: str, item="productId", score="score") -> D
     )
 
 
+def list_rank(
+    df: DataFrame, key: str, item="productId", score="score", rank: str = "rank"
+) -> DataFrame:
+    """The rank of every row in its whole list, best first, however long the list is.
+
+    Rows are range-partitioned in list order, so a list of any length is cut over many
+    tasks.  A row's rank is its place in its own range plus what the list has in the ranges
+    before, which takes one small count per range and key.
+    """
+    order = [F.desc(F.round(score, 9)), F.asc(item)]
+    ranges = shared.stage(
+        df.repartitionByRange(F.col(key), *order).withColumn("range", F.spark_partition_id()),
+        "ranges",
+    )
+    sizes = ranges.groupBy(key, "range").agg(F.count(F.lit(1)).alias("size"))
+    before = Window.partitionBy(key).orderBy("range")
+    offsets = sizes.select(key, "range", (F.sum("size").over(before) - F.col("size")).alias("offset"))
+    place = F.row_number().over(Window.partitionBy(key, "range").orderBy(*order))
+    return (
+        ranges.withColumn("place", place)
+        .join(offsets, [key, "range"])
+        .withColumn(rank, (F.col("offset") + F.col("place")).cast("int"))
+        .select(*df.columns, rank)
+    )
+
+
 def pack_pages(
     df: DataFrame, key: str, item="productId", score="score", page_size=settings.PAGE_SIZE
 ) -> DataFrame:
@@ -45,7 +66,7 @@ def pack_pages(
     Page ``n`` holds ranks ``n * page_size + 1 ...``; no list is cut and no task
     holds more than one page.
     """
-    ranked = df.withColumn("rank", F.row_number().over(by_score(key, item, score))).withColumn(
+    ranked = list_rank(df, key, item, score).withColumn(
         "page", F.floor((F.col("rank") - 1) / page_size).cast("int")
     )
     entry = F.struct("rank", F.col(item).alias("productId"), F.col(score).alias("score"))

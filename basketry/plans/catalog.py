@@ -96,8 +96,11 @@ def _serving(df: DataFrame, *columns) -> DataFrame:
     return _rounded(df).select(*columns, "productId", "name", "categories", "tags", "score")
 
 
-def _averages(spark, sf_dir) -> DataFrame:
+def _averages(spark, sf_dir, only: DataFrame | None = None) -> DataFrame:
+    """Average scores; with ``only`` the ratings of other products are not shuffled."""
     rated = warehouse.ratings(spark, sf_dir)
+    if only is not None:
+        rated = rated.join(only.select("productId"), "productId", "left_semi")
     return rated.groupBy("productId").agg(F.avg("score").alias("avg"))
 
 
@@ -123,8 +126,9 @@ def most_rated_products(spark, sf_dir):
 
 
 def product_info(spark, sf_dir):
+    requests = _requests(spark, sf_dir)
     found = serving.product_info(
-        _requests(spark, sf_dir), warehouse.products(spark, sf_dir), _averages(spark, sf_dir)
+        requests, warehouse.products(spark, sf_dir), _averages(spark, sf_dir, requests)
     )
     return _serving(found)
 
@@ -399,7 +403,11 @@ def stream_recent_queue(spark, sf_dir):
 
 
 def _similarity(spark, sf_dir) -> DataFrame:
-    return shared.stage(content.similar_products(_words(spark, sf_dir)), "similarity")
+    """The stored form of the lists: whole, with the rank of every entry."""
+    pairs = content.similar_products(_words(spark, sf_dir))
+    return shared.stage(
+        ranking.list_rank(pairs, "product1", "product2", rank="place"), "similarity"
+    )
 
 
 def _rated(spark, sf_dir) -> DataFrame:
@@ -541,12 +549,6 @@ def als_user_recs(spark, sf_dir):
     return _rounded(ranking.unpack_recs(als.user_recs(_model(spark, sf_dir)), "userId"))
 
 
-def als_unrated_user_recs(spark, sf_dir):
-    rated = warehouse.ratings(spark, sf_dir)
-    recs = als.user_recs(_model(spark, sf_dir), exclude_rated=rated)
-    return _rounded(ranking.unpack_recs(recs, "userId"))
-
-
 def als_product_similar(spark, sf_dir):
     """The whole lists of similar products, in the stored form of pages."""
     pairs = als.product_similarity(_model(spark, sf_dir))
@@ -636,7 +638,6 @@ QUERIES = {
         merge_stream_recs,
         hybrid_blend,
         als_user_recs,
-        als_unrated_user_recs,
         als_product_similar,
         als_grid,
         als_recs_lookup,

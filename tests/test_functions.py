@@ -43,13 +43,13 @@ def polynomial_hash(text):
     return h - (1 << 32) if h >= 1 << 31 else h
 
 
-@pytest.mark.parametrize("name", ["zhangrl", "", "a", "héllo", "名前", "smile😀x", "z" * 200])
+@pytest.mark.parametrize("name", ["hello", "", "a", "héllo", "名前", "smile😀x", "z" * 200])
 def test_user_id_from_name(spark, name):
     assert one(spark, scalars.user_id_from_name(F.lit(name))) == polynomial_hash(name)
 
 
 def test_user_id_known_value(spark):
-    assert one(spark, scalars.user_id_from_name(F.lit("zhangrl"))) == -323307738
+    assert one(spark, scalars.user_id_from_name(F.lit("hello"))) == 99162322
 
 
 def test_query_text_is_decoded_again(spark):

@@ -1,3 +1,5 @@
+import pytest
+
 from basketry import settings
 from basketry.operators import ranking, ratings
 
@@ -61,6 +63,28 @@ def test_tags(spark, rows):
     assert rows(ratings.aggregate_tags(tags)) == [(5, "a|b"), (6, "c")]
 
 
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+def test_list_rank_of_one_long_list(spark, coalesce):
+    """One key holds nearly all rows and many of them tie; its list spans many ranges."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+    lists = spark.range(20000).selectExpr(
+        "cast(if(id < 19000, 1, id % 50) as int) AS k",
+        "cast(id AS int) AS productId",
+        "cast(id % 7 as double) AS score",
+    )
+    try:
+        found = ranking.list_rank(lists, "k").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    by_key = {}
+    for r in found:
+        by_key.setdefault(r["k"], []).append((r["rank"], -r["score"], r["productId"]))
+    assert len(found) == 20000
+    for entries in by_key.values():
+        expected = sorted((s, p) for _, s, p in entries)
+        assert sorted(entries) == [(i + 1, s, p) for i, (s, p) in enumerate(expected)]
+
+
 def test_pages_hold_whole_lists_in_order(spark):
     lists = spark.createDataFrame(
         [(1, p, float(p % 10)) for p in range(25)], "k int, productId int, score double"

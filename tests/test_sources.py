@@ -7,9 +7,9 @@ from basketry.sinks import tables as sink
 from basketry.sources import files, tables
 
 PRODUCTS = [
-    '3982^ Mouse "M8" (a,b) ^1057,439^B009^https://x/31.jpg ^Mice|Office^brand|mouse|good',
-    "8195^TF card^1057^B002^https://x/2.jpg^Storage^card|fast|good",
-    "9000^No tags^1^B003^https://x/3.jpg^Books^",
+    '101^ Mouse "M8" (a,b) ^1057,439^Z1^https://x/31.jpg ^Mice|Office^brand|mouse|good',
+    "102^TF card^1057^Z2^https://x/2.jpg^Storage^card|fast|good",
+    "103^No tags^1^Z3^https://x/3.jpg^Books^",
 ]
 
 
@@ -22,17 +22,17 @@ def test_product_file(spark, tmp_path):
     df = files.read_products(spark, write(tmp_path / "p.csv", PRODUCTS))
     found = {r["productId"]: r for r in df.collect()}
     assert df.schema.simpleString() == schemas.PRODUCT.simpleString()
-    assert found[3982]["name"] == 'Mouse "M8" (a,b)'
-    assert found[3982]["imageUrl"] == "https://x/31.jpg"
-    assert found[8195]["tags"] == "card|fast|good"
-    assert found[9000]["tags"] == ""
+    assert found[101]["name"] == 'Mouse "M8" (a,b)'
+    assert found[101]["imageUrl"] == "https://x/31.jpg"
+    assert found[102]["tags"] == "card|fast|good"
+    assert found[103]["tags"] == ""
 
 
 def test_rating_file(spark, tmp_path, rows):
-    path = write(tmp_path / "r.csv", ["4867,457976,5.0,1395676800", "1,2,3.5,1400000000"])
+    path = write(tmp_path / "r.csv", ["41,57,5.0,1395676800", "1,2,3.5,1400000000"])
     assert rows(files.read_ratings(spark, path)) == [
         (1, 2, 3.5, 1400000000),
-        (4867, 457976, 5.0, 1395676800),
+        (41, 57, 5.0, 1395676800),
     ]
 
 
@@ -51,19 +51,28 @@ def test_people_counted_by_age_and_sex(spark, tmp_path, rows):
 
 def test_jobs_from_files_to_tables(spark, tmp_path, rows):
     root = str(tmp_path / "tables")
-    users = [(u, p) for u in range(12) for p in (3982, 8195, 9000) if (u * p) % 5 != 1]
+    users = [(u, p) for u in range(12) for p in (101, 102, 103) if (u * p) % 5 != 1]
     lines = [f"{u},{p},{1 + (u + p) % 5}.0,{1395676800 + u * 86400 * 9}" for u, p in users]
     jobs.load(
         spark, write(tmp_path / "p.csv", PRODUCTS), write(tmp_path / "r.csv", lines), root
     )
     ratings = tables.read_table(spark, root, settings.RATING, schemas.RATING)
     assert ratings.count() == len(users)
+    updates = spark.createDataFrame(
+        [(0, 101, 5.0, 9, 1), (77, 101, 2.0, 8, 2)],
+        "userId int, productId int, score double, order1 bigint, order2 bigint",
+    )
+    for _ in range(2):
+        jobs.merge_updates_job(spark, root, updates)
+        ratings = tables.read_table(spark, root, settings.RATING, schemas.RATING)
+        assert ratings.count() == len(users) + 1
+        assert ratings.where("userId = 0 AND productId = 101").first()["score"] == 5.0
     jobs.statistics_job(spark, root)
     counts = tables.read_table(spark, root, settings.RATE_MORE)
     assert rows(counts) == rows(statistics.rate_more_products(ratings))
     jobs.itemcf_job(spark, root)
     recs = tables.read_table(spark, root, settings.ITEMCF_RECS, schemas.PRODUCT_RECS)
-    assert {r["productId"] for r in recs.collect()} == {3982, 8195, 9000}
+    assert {r["productId"] for r in recs.collect()} == {101, 102, 103}
     jobs.content_job(spark, root, hashed=False)
     assert set(tables.read_table(spark, root, settings.CONTENT_RECS).columns) == {
         "productId",
