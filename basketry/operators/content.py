@@ -126,6 +126,7 @@ def profile_similarity(
     )
     return (
         placed.join(vectors, "profileId")
+        .repartition(shared.task_count(weights.sparkSession), "term", "low", "high")
         .groupBy("term", "low", "high")
         .applyInPandas(_tile_function(min_sim), _PAIRS)
     )

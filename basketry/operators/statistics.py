@@ -58,14 +58,21 @@ def tables_from_monthly(monthly: DataFrame) -> dict[str, DataFrame]:
 
 
 def statistics_in_one_scan(ratings: DataFrame, zone: str = "UTC") -> DataFrame:
-    """Monthly count, total count and average of every product in one result."""
-    monthly = monthly_profile(ratings, zone)
-    tables = tables_from_monthly(monthly)
+    """Monthly count, total count and average of every product in one result.
+
+    A product's months are bounded by the calendar, so they travel as one array and the
+    ratings are read and shuffled once.
+    """
+    months = F.collect_list(F.struct("yearmonth", F.col("count").alias("month_count")))
     return (
-        tables["recent"]
-        .withColumnRenamed("count", "month_count")
-        .join(tables["count"].withColumnRenamed("count", "total_count"), "productId")
-        .join(tables["average"], "productId")
+        monthly_profile(ratings, zone)
+        .groupBy("productId")
+        .agg(
+            F.sum("count").alias("total_count"),
+            (F.sum("score_sum") / F.sum("count")).alias("avg"),
+            months.alias("months"),
+        )
+        .select("productId", "total_count", "avg", F.inline("months"))
     )
 
 

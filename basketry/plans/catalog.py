@@ -105,24 +105,24 @@ def _averages(spark, sf_dir, only: DataFrame | None = None) -> DataFrame:
 
 
 def hot_products(spark, sf_dir):
-    monthly = statistics.monthly_profile(warehouse.ratings(spark, sf_dir))
+    """Months and averages both come from the monthly profile: one pass over the ratings."""
+    monthly = shared.stage(
+        statistics.monthly_profile(warehouse.ratings(spark, sf_dir)), "monthly"
+    )
+    stored = statistics.tables_from_monthly(monthly)
     products = warehouse.products(spark, sf_dir)
-    found = serving.hot_products(monthly, products, _averages(spark, sf_dir), 20)
+    found = serving.hot_products(stored["recent"], products, stored["average"], 20)
     return _serving(found, "yearmonth", "count")
 
 
 def most_rated_products(spark, sf_dir):
-    """Both tables of the answer come from one pass over the ratings."""
     per_product = (
         warehouse.ratings(spark, sf_dir)
         .groupBy("productId")
-        .agg(F.count("productId").alias("count"), F.avg("score").alias("avg"))
+        .agg(F.count("productId").alias("count"), F.avg("score").alias("score"))
     )
     top = statistics.most_rated(per_product, 20)
-    found = serving.with_average(
-        top.select("productId", "count").join(warehouse.products(spark, sf_dir), "productId"), top
-    )
-    return _serving(found, "count")
+    return _serving(top.join(warehouse.products(spark, sf_dir), "productId"), "count")
 
 
 def product_info(spark, sf_dir):
@@ -134,9 +134,9 @@ def product_info(spark, sf_dir):
 
 
 def search_products(spark, sf_dir):
-    found = serving.search_products(
-        warehouse.products(spark, sf_dir), _averages(spark, sf_dir), _SEARCH
-    )
+    products = warehouse.products(spark, sf_dir)
+    named = products.where(F.col("name").rlike(_SEARCH))
+    found = serving.search_products(products, _averages(spark, sf_dir, named), _SEARCH)
     return _serving(found)
 
 

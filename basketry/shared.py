@@ -46,3 +46,14 @@ def use_checkpoints(spark: SparkSession) -> None:
     """Let iterative algorithms cut their lineage in the shared folder."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(f"{shared_dir(spark)}/basketry/checkpoints")
+
+
+def task_count(spark: SparkSession, groups: int | None = None) -> int:
+    """Partitions for groups that are small in bytes but heavy to compute.
+
+    Given as a number to ``repartition``: adaptive execution would merge such partitions
+    by their size and leave most cores idle.
+    """
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = 4 * max(shuffle, spark.sparkContext.defaultParallelism)
+    return wanted if groups is None else max(1, min(groups, wanted))
