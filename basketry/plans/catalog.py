@@ -453,10 +453,9 @@ def _run_online(spark, sf_dir) -> OnlineRecommender:
     recommender = OnlineRecommender(
         spark, folder, lambda: sim, lambda: warehouse.ratings(spark, sf_dir)
     )
-    query = recommender.start(
-        _ordered_event_stream(spark, sf_dir), f"{folder}/checkpoint", once=True
-    )
-    query.awaitTermination()
+    events = _ordered_event_stream(spark, sf_dir)
+    recommender.start_updates(events, f"{folder}/updates", once=True).awaitTermination()
+    recommender.start(events, f"{folder}/checkpoint", once=True).awaitTermination()
     return recommender
 
 

@@ -55,5 +55,5 @@ def task_count(spark: SparkSession, groups: int | None = None) -> int:
     by their size and leave most cores idle.
     """
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = 4 * max(shuffle, spark.sparkContext.defaultParallelism)
+    wanted = max(shuffle, 4 * spark.sparkContext.defaultParallelism)
     return wanted if groups is None else max(1, min(groups, wanted))

@@ -2,6 +2,7 @@
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,19 +10,23 @@ from basketry import settings, shared
 from basketry.operators import online, ranking
 from basketry.sinks.tables import write_batch
 from basketry.streaming import run
-from basketry.streaming.recent_queue import queue_stream
+from basketry.streaming.recent_queue import EVENT_COLUMNS, queue_stream
 
 RATING_UPDATES = "RatingUpdates"
-_UPDATE_SCHEMA = "userId int, productId int, score double, order1 bigint, order2 bigint, batch int"
+_UPDATES_SCHEMA = "userId int, order1 bigint, order2 bigint, productId int, score double"
 _RECS_SCHEMA = "userId int, recs array<struct<productId:int,score:double>>, batch int"
 
 
 class OnlineRecommender:
-    """Keyed state keeps the queues; ``foreachBatch`` joins and scores.
+    """Two queries over the same events (userId, productId, score, order1, order2).
 
-    Batch ``n`` appends its events to ``RatingUpdates/batch=n`` and its lists to
-    ``StreamRecs/batch=n``.  Both folders are replaced if the batch is repeated, so a
-    restart changes nothing, and no batch rewrites what earlier ones wrote.
+    ``start_updates`` appends the events to ``RatingUpdates``, map-only.  ``start`` keeps
+    the queues as keyed state, joins and scores in ``foreachBatch`` and writes the lists of
+    batch ``n`` to ``StreamRecs/batch=n``; a repeated batch replaces its folder, and no
+    batch rewrites what earlier ones wrote.
+
+    A product counts as rated if it is in the rating table, in the updates or in the queue,
+    so the lists stay right while the updates query is a batch behind.
 
     ``load_similarity`` and ``load_rated`` are called in every batch: a refreshed
     similarity table, or updates merged into the rating table, are seen at once.
@@ -37,28 +42,38 @@ class OnlineRecommender:
         self.spark, self.root = spark, root
         self.load_similarity, self.load_rated = load_similarity, load_rated
 
-    def process(self, queue_rows: DataFrame, batch_id: int) -> None:
-        rows = shared.stage(queue_rows, "batch")
-        events = rows.where(F.col("rank") == 0).drop("rank")
-        write_batch(events, self.root, RATING_UPDATES, batch_id)
-        triggers = rows.where(F.col("rank") == 1).select("userId", "productId")
-        recents = rows.where(F.col("rank").between(1, settings.N_RECENT))
-        rated = (
-            self.load_rated()
-            .select("userId", "productId")
-            .unionByName(self.rating_updates().select("userId", "productId"))
+    def start_updates(self, events: DataFrame, checkpoint: str, once: bool = False):
+        writer = (
+            events.select(*EVENT_COLUMNS)
+            .writeStream.format("parquet")
+            .option("path", f"{self.root}/{RATING_UPDATES}")
+            .outputMode("append")
         )
-        recs = online.recommend(triggers, recents, rated, self.load_similarity())
-        write_batch(recs, self.root, settings.STREAM_RECS, batch_id)
+        return run.start(writer, checkpoint, once)
 
     def start(self, events: DataFrame, checkpoint: str, once: bool = False):
-        """``events``: userId, productId, score, order1, order2."""
         writer = queue_stream(events).writeStream.outputMode("update").foreachBatch(self.process)
         return run.start(writer, checkpoint, once)
 
+    def process(self, queue_rows: DataFrame, batch_id: int) -> None:
+        queues = shared.stage(queue_rows, "queues")
+        triggers = queues.where(F.col("rank") == 1).select("userId", "productId")
+        recents = queues.where(F.col("rank") <= settings.N_RECENT)
+        rated = self.load_rated().select("userId", "productId")
+        for more in (self.rating_updates(), queues):
+            rated = rated.unionByName(more.select("userId", "productId"))
+        recs = online.recommend(triggers, recents, rated, self.load_similarity())
+        write_batch(recs, self.root, settings.STREAM_RECS, batch_id)
+
     def rating_updates(self) -> DataFrame:
-        """Events of all batches so far, to be merged into the rating table by ``upsert``."""
-        return self.spark.read.schema(_UPDATE_SCHEMA).parquet(f"{self.root}/{RATING_UPDATES}")
+        """Events so far, to be merged into the rating table by ``upsert``."""
+        try:
+            return self.spark.read.schema(_UPDATES_SCHEMA).parquet(f"{self.root}/{RATING_UPDATES}")
+        except AnalysisException as missing:
+            # The folder appears with the first batch of the updates query.
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], _UPDATES_SCHEMA)
 
     def current_recs(self) -> DataFrame:
         """The newest list of every user."""

@@ -19,12 +19,21 @@ _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 _ENTRIES = "entries array<struct<order1:bigint,order2:bigint,productId:int,score:double>>"
 
 
-class QueueProcessor(StatefulProcessor):
-    """At most ``size`` newest ratings per user.
+def _newest(rows: pd.DataFrame, size: int) -> pd.DataFrame:
+    ordered = rows.sort_values(["order1", "order2"], ascending=False)
+    return ordered.groupby("userId", sort=False).head(size)
+
+
+def _thin_out(size: int):
+    def thin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            yield _newest(rows, size)
+
+    return thin
 
-    A user's rows of a batch arrive in chunks; each chunk is passed on as events (rank 0)
-    and only the newest ``size`` are held, so a hot user costs time but no memory.
-    """
+
+class QueueProcessor(StatefulProcessor):
+    """At most ``size`` newest ratings per user, read chunk by chunk."""
 
     def __init__(self, size: int):
         self.size = size
@@ -35,33 +44,31 @@ class QueueProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
         held = [tuple(e) for e in self.queue.get()[0]] if self.queue.exists() else []
         for chunk in rows:
-            yield chunk.assign(rank=0)[_OUTPUT_COLUMNS]
-            newest = chunk.sort_values(["order1", "order2"], ascending=False).head(self.size)
-            entries = newest[["order1", "order2", "productId", "score"]]
+            entries = _newest(chunk, self.size)[["order1", "order2", "productId", "score"]]
             held += list(entries.itertuples(index=False, name=None))
             held = sorted(held, reverse=True)[: self.size]
         self.queue.update((held,))
         yield pd.DataFrame(
             [(key[0], i + 1, p, s, a, b) for i, (a, b, p, s) in enumerate(held)],
-            columns=_OUTPUT_COLUMNS,
+            columns=["userId", "rank", "productId", "score", "order1", "order2"],
         )
 
     def close(self) -> None:
         pass
 
 
-_OUTPUT_COLUMNS = ["userId", "rank", "productId", "score", "order1", "order2"]
-
-
 def queue_stream(events: DataFrame, size: int = settings.QUEUE_SIZE) -> DataFrame:
-    """Per batch: its events as rank 0, then the queue of every user they touch, from rank 1.
+    """Per batch: the whole queue, ranked from 1, of every user the batch touches.
 
-    ``events`` has ``EVENT_COLUMNS``; (order1, order2) orders a user's ratings.
+    ``events`` has ``EVENT_COLUMNS``; (order1, order2) orders a user's ratings.  Ahead of
+    the shuffle every chunk of input rows keeps ``size`` events per user, so a user with a
+    large share of the stream does not send all of it to one task.
     """
     spark = events.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
+    columns = events.select(*EVENT_COLUMNS)
     return (
-        events.select(*EVENT_COLUMNS)
+        columns.mapInPandas(_thin_out(size), columns.schema)
         .groupBy("userId")
         .transformWithStateInPandas(QueueProcessor(size), OUTPUT, "update", "none")
     )
@@ -74,7 +81,7 @@ def start_queue(events: DataFrame, root: str, checkpoint: str, once: bool = Fals
     """Keep ``RecentQueue`` under ``root``: each batch writes the queues it changed."""
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        write_batch(rows.where(F.col("rank") > 0), root, QUEUE, batch_id)
+        write_batch(rows, root, QUEUE, batch_id)
 
     writer = queue_stream(events).writeStream.outputMode("update").foreachBatch(write)
     return run.start(writer, checkpoint, once)
