@@ -42,8 +42,10 @@ def list_rank(
     before, which takes one small count per range and key.
     """
     order = [F.desc(F.round(score, 9)), F.asc(item)]
+    # Finding the ranges reads the lists once more: staged, they are not worked out twice.
+    lists = shared.stage(df, "lists")
     ranges = shared.stage(
-        df.repartitionByRange(F.col(key), *order).withColumn("range", F.spark_partition_id()),
+        lists.repartitionByRange(F.col(key), *order).withColumn("range", F.spark_partition_id()),
         "ranges",
     )
     sizes = ranges.groupBy(key, "range").agg(F.count(F.lit(1)).alias("size"))

@@ -50,7 +50,8 @@ TRIGGER_INTERVAL = "5 seconds"
 # Execution sizes of our own; they change cost, never results.
 HEAVY_BASKET = 1000  # users with more distinct products go through tiles
 TILE_PRODUCTS = 2048  # products on one side of a co-occurrence tile
-TILE_VECTORS = 4096  # vectors on one side of a dense tile
+TILE_VECTORS = 1024  # vectors on one side of a dense tile, at least ...
+TILE_NUMBERS = 4_000_000  # ... and at most so many numbers in them
 TILE_PROFILES = 1024  # profiles on one side of a content tile ...
 TILE_TERMS = 1_000_000  # ... and at most so many terms in them
 PAGE_SIZE = 1000  # recommendations in one page of an unbounded list
