@@ -34,7 +34,8 @@ def change_date(epoch, zone: str = "UTC") -> Column:
 
 
 def cooccurrence_similarity(co, count1, count2) -> Column:
-    return _col(co) / F.sqrt((_col(count1) * _col(count2)).cast("double"))
+    # In double: the product of two large counts does not fit a bigint.
+    return _col(co) / F.sqrt(_col(count1).cast("double") * _col(count2).cast("double"))
 
 
 def dot(a, b) -> Column:

@@ -69,3 +69,8 @@ def test_cosine_of_a_zero_vector_is_null(spark):
     assert one(spark, scalars.cosine(zero, unit)) is None
     assert one(spark, scalars.cosine(unit, unit)) == pytest.approx(1.0)
     assert one(spark, scalars.log2(F.lit(8))) == 3.0
+
+
+def test_similarity_of_very_large_counts(spark):
+    big = F.lit(300_000_000_000).cast("bigint")
+    assert one(spark, scalars.cooccurrence_similarity(big, big, big)) == pytest.approx(1.0)
