@@ -5,7 +5,7 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm import bpe
+from basketry.llm import bpe, decontamination
 
 
 def tokenizer_path() -> str:
@@ -21,6 +21,20 @@ def _table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_decontamination(spark, sf_dir):
+    scanned = decontamination.scan(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+    return scanned.select(
+        "doc_id",
+        "n_words",
+        decontamination.n_hit().alias("n_hit"),
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
 def op10_bpe(spark, sf_dir):
     encoded = bpe.encode(_table(spark, sf_dir, "documents"), tokenizer_path())
     return encoded.select(
@@ -31,5 +45,5 @@ def op10_bpe(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op10_bpe,)}
+QUERIES = {f.__name__: f for f in (op6_decontamination, op10_bpe)}
 ORACLE_SQL: dict[str, str] = {}
