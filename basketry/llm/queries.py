@@ -5,7 +5,7 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm import bpe, decontamination
+from basketry.llm import bpe, decontamination, quality_rules
 
 
 def tokenizer_path() -> str:
@@ -21,6 +21,21 @@ def _table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_quality_rules(spark, sf_dir):
+    rated = quality_rules.rate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return rated.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "score",
+    )
+
+
 def op6_decontamination(spark, sf_dir):
     scanned = decontamination.scan(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
@@ -45,5 +60,5 @@ def op10_bpe(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op6_decontamination, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op3_quality_rules, op6_decontamination, op10_bpe)}
 ORACLE_SQL: dict[str, str] = {}
