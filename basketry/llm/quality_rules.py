@@ -38,19 +38,24 @@ def _shifted(array: str) -> F.Column:
     return F.slice(array, 2, F.greatest(F.size(array) - 1, F.lit(0)))
 
 
+def hashed(docs: DataFrame) -> DataFrame:
+    """Adds the hash of each word, which n-grams and windows are made of, as ``hashes``."""
+    return docs.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
+
+
 def _features(buckets: int) -> F.Column:
-    """Buckets of the words and word pairs of column ``words``."""
-    single = F.transform("words", lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int"))
+    """Buckets of the words and word pairs of column ``hashes``."""
+    single = F.transform("hashes", lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
     pairs = F.zip_with(
-        F.slice("words", 1, F.greatest(F.size("words") - 1, F.lit(0))),
-        _shifted("words"),
+        F.slice("hashes", 1, F.greatest(F.size("hashes") - 1, F.lit(0))),
+        _shifted("hashes"),
         lambda a, b: F.pmod(F.xxhash64(a, b), F.lit(buckets)).cast("int"),
     )
     return F.concat(single, pairs)
 
 
 def base_counts(docs: DataFrame) -> DataFrame:
-    """Adds ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words`` to ``text, words``."""
+    """Adds ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words`` to ``text, words, hashes``."""
     size = REPEAT_WINDOW
     lines = F.filter(
         F.split(F.coalesce("text", F.lit("")), "\n"), lambda line: line.rlike(r"[^ \x09-\x0D]")
@@ -62,10 +67,10 @@ def base_counts(docs: DataFrame) -> DataFrame:
             "n_symbols": F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[#*$%&|<>]")).cast(_LONG),
             "lines": lines,
             "windows": F.when(
-                F.size("words") >= size,
+                F.size("hashes") >= size,
                 F.transform(
-                    F.sequence(F.lit(1), F.size("words") - (size - 1)),
-                    lambda i: F.xxhash64(F.slice("words", i, size)),
+                    F.sequence(F.lit(0), F.size("hashes") - size),
+                    lambda i: F.xxhash64(*[F.get("hashes", i + k) for k in range(size)]),
                 ),
             ).otherwise(F.array().cast("array<bigint>")),
         }
@@ -148,11 +153,11 @@ def rate(
     own = docs.select(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), words_of(F.col(text_col)).alias("words")
     )
-    weights = bucket_weights(own, labels, buckets, max_trusted)
+    weights = bucket_weights(hashed(own), labels, buckets, max_trusted)
     # One literal array after constant folding.
     table = F.split(F.lit(",".join(f"{w:.6f}" for w in weights)), ",").cast("array<double>")
     rated = base_counts(
-        docs.withColumns({"text": F.col(text_col), "words": words_of(F.col(text_col))})
+        hashed(docs.withColumns({"text": F.col(text_col), "words": words_of(F.col(text_col))}))
     )
     rated = rated.withColumn("features", _features(buckets))
     total = F.aggregate("features", F.lit(0.0), lambda s, f: s + F.get(table, f))
@@ -164,4 +169,4 @@ def rate(
         }
     )
     rated = rated.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
-    return rated.drop("words", "features", *([] if "text" in docs.columns else ["text"]))
+    return rated.drop("words", "hashes", "features", *([] if "text" in docs.columns else ["text"]))
