@@ -4,7 +4,8 @@ A text is the weighted set of its five-word shingles, weights being counts.  Eve
 arrivals form a Poisson process of its weight; each arrival falls on a random register, a
 register keeps the earliest shingle, and a text stops when no later arrival can win.  Two texts
 agree in a register with the probability Jaccard of their sets.  Registers are banded, texts that
-share a band are candidates, and candidates are verified with their exact similarity.
+share a band are candidates, and candidates are verified: their sets of shingles must have a
+Jaccard similarity of 0.8 or more.
 
 Equal texts are collapsed first.  The candidates of the smallest text of a band bucket form its
 group; groups are cut into blocks of bounded size, so that no task holds a hot one.  Inside a
@@ -65,10 +66,10 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]], registers: int) -> np.
     best = np.full(len(sets) * registers, np.inf)
     winner = np.zeros(len(best), np.uint64)
     active = np.arange(len(keys))
-    arrival = np.uint64(0)
+    arrival = np.zeros(1, np.uint64)
     while len(active):
-        arrival += np.uint64(1)
-        draw = words.mix(keys[active] + arrival * _STEP)
+        arrival += _STEP
+        draw = words.mix(keys[active] + arrival)
         uniform = ((draw >> np.uint64(11)).astype(float) + 1) * 2.0**-53
         time[active] -= np.log(uniform) / weights[active]
         register = (words.mix(draw ^ _STEP) % np.uint64(registers)).astype(np.int64)
@@ -92,22 +93,10 @@ def band_keys(signature: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np
     return out.view(np.int64)
 
 
-def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Probability Jaccard of two weighted sets; plain Jaccard where all weights are equal."""
-    _, left, right = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    if not len(left):
-        return 0.0
-    union = len(a[0]) + len(b[0]) - len(left)
-    if a[1].max() == 1 and b[1].max() == 1:
-        return len(left) / union
-    x = np.concatenate([a[1][left], np.delete(a[1], left), np.zeros(len(b[0]) - len(left))]).astype(float)
-    y = np.concatenate([b[1][right], np.zeros(len(a[0]) - len(left)), np.delete(b[1], right)]).astype(float)
-    ratio = np.divide(x, y, out=np.full(len(x), np.inf), where=y > 0)
-    order = np.argsort(ratio, kind="stable")
-    x_from = np.concatenate([np.cumsum(x[order][::-1])[::-1], [0]])
-    y_below = np.concatenate([[0], np.cumsum(y[order])])
-    place = np.searchsorted(ratio[order], ratio[: len(left)])
-    return float((1 / (x_from[place] / x[: len(left)] + y_below[place] / y[: len(left)])).sum())
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity of two sorted sets."""
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common / (len(a) + len(b) - common)
 
 
 class _Sets:
@@ -115,11 +104,7 @@ class _Sets:
 
     def __init__(self, table: pa.Table):
         self.ids = table.column("id").to_pylist()
-        unpacked = {}
-        for name in ("keys", "counts"):
-            kind = np.uint64 if name == "keys" else np.uint32
-            unpacked[name] = [np.frombuffer(x, kind) for x in table.column(name).to_pylist()]
-        self.sets = list(zip(unpacked["keys"], unpacked["counts"], strict=True))
+        self.sets = [np.frombuffer(x, np.uint64) for x in table.column("keys").to_pylist()]
         self.parent = list(range(len(self.ids)))
 
     def root(self, i: int) -> int:
@@ -132,14 +117,13 @@ class _Sets:
 
     def alike(self, i: int, j: int, least: float) -> bool:
         a, b = self.sets[i], self.sets[j]
-        plain = a[1].max() == 1 and b[1].max() == 1
-        if plain and min(len(a[0]), len(b[0])) < least * max(len(a[0]), len(b[0])):
+        if min(len(a), len(b)) < least * max(len(a), len(b)):
             return False
         return similarity(a, b) >= least
 
 
 def _pack(docs: DataFrame) -> DataFrame:
-    """``id, keys, counts`` of every text as bytes."""
+    """``id, keys`` of every text, the shingle hashes as bytes."""
 
     def run(batches):
         for batch in batches:
@@ -150,12 +134,11 @@ def _pack(docs: DataFrame) -> DataFrame:
                     [
                         batch.column(0).slice(start, end - start),
                         pa.array([k.tobytes() for k, _ in sets], pa.binary()),
-                        pa.array([c.astype(np.uint32).tobytes() for _, c in sets], pa.binary()),
                     ],
-                    ["id", "keys", "counts"],
+                    ["id", "keys"],
                 )
 
-    return docs.mapInArrow(run, f"id {words.kind_of(docs, 'doc_id')}, keys binary, counts binary")
+    return docs.mapInArrow(run, f"id {words.kind_of(docs, 'doc_id')}, keys binary")
 
 
 def sign(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -248,7 +231,7 @@ def links(groups: DataFrame, docs: DataFrame, least: float = SIMILARITY, block:
             }
         )
 
-    filled = placed.join(sets, "id").select("centre", "id", "blocks", "block", "keys", "counts")
+    filled = placed.join(sets, "id").select("centre", "id", "blocks", "block", "keys")
     first = shared.stage(
         filled.groupBy("centre", "block").applyInArrow(inside, f"centre {kind}, a {kind}, b {kind}"),
         "block-links",

@@ -5,7 +5,7 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm import bpe, decontamination, quality_rules
+from basketry.llm import bpe, decontamination, near_dedup, quality_rules
 
 
 def tokenizer_path() -> str:
@@ -36,6 +36,10 @@ def op3_quality_rules(spark, sf_dir):
     )
 
 
+def op4_minhash(spark, sf_dir):
+    return near_dedup.classes(_table(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark, sf_dir):
     scanned = decontamination.scan(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
@@ -60,5 +64,5 @@ def op10_bpe(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op6_decontamination, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op3_quality_rules, op4_minhash, op6_decontamination, op10_bpe)}
 ORACLE_SQL: dict[str, str] = {}
