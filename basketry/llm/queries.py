@@ -5,7 +5,7 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm import bpe, decontamination, near_dedup, quality_rules
+from basketry.llm import bpe, decontamination, near_dedup, pii, quality_rules
 
 
 def tokenizer_path() -> str:
@@ -54,6 +54,18 @@ def op6_decontamination(spark, sf_dir):
     )
 
 
+def op8_pii(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.learn(docs))
+    counts = [
+        F.size(F.filter("base", lambda s, kind=kind: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+        for kind in pii.KINDS
+    ]
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.listed("base"), 256).alias("base_sha256"), pii.listed("spans").alias("spans")
+    )
+
+
 def op10_bpe(spark, sf_dir):
     encoded = bpe.encode(_table(spark, sf_dir, "documents"), tokenizer_path())
     return encoded.select(
@@ -64,5 +76,5 @@ def op10_bpe(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op4_minhash, op6_decontamination, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op3_quality_rules, op4_minhash, op6_decontamination, op8_pii, op10_bpe)}
 ORACLE_SQL: dict[str, str] = {}
