@@ -16,16 +16,14 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from basketry import shared
+from basketry.llm import words
 
 shared.ship(__name__)
 
 #: Words whose encoding a task remembers; beyond it the memory starts anew.
 CACHE_WORDS = 200_000
-#: Texts that are encoded together.
-BATCH_CHARS = 4_000_000
 #: Bounds of a tokenizer that may be sent to every task.
 MAX_TOKENIZER_MB = 64
 
@@ -213,22 +211,12 @@ class Encoder:
         return out
 
 
-def _slices(texts: list):
-    """Ranges of about ``BATCH_CHARS`` characters."""
-    start = size = 0
-    for i, text in enumerate(texts):
-        size += len(text or "")
-        if size >= BATCH_CHARS:
-            yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
-def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(
+    docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", carry: bool = False
+) -> DataFrame:
     """``doc_id, n_tokens, ids, decoded`` of every row: ids and names of tokens joined by spaces.
 
-    ``tokenizer`` is a file of the ``tokenizers`` library, with word ends and byte-level pieces.
+    With ``carry`` the whole input row follows as ``row``.  ``tokenizer`` is a file of the ``tokenizers`` library, with word ends and byte-level pieces.
     It is sent to every task, which its checked size allows.
     """
     spark = docs.sparkSession
@@ -238,18 +226,17 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
         encoder = Encoder(sent.value)
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for start, end in _slices(texts):
+            for start, end in words.text_slices(texts):
                 done = encoder.texts(texts[start:end])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(start, end - start),
-                        pa.array([d[0] for d in done], pa.int64()),
-                        pa.array([d[1] for d in done], pa.string()),
-                        pa.array([d[2] for d in done], pa.string()),
-                    ],
-                    ["doc_id", "n_tokens", "ids", "decoded"],
-                )
-
-    picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    kind = picked.schema["doc_id"].dataType.simpleString()
-    return picked.mapInArrow(run, f"doc_id {kind}, n_tokens bigint, ids string, decoded string")
+                made = {
+                    "n_tokens": pa.array([d[0] for d in done], pa.int64()),
+                    "ids": pa.array([d[1] for d in done], pa.string()),
+                    "decoded": pa.array([d[2] for d in done], pa.string()),
+                }
+                yield words.result(batch, start, end, made)
+
+    own = words.picked(docs, id_col, text_col, carry)
+    kind = words.kind_of(own, "doc_id")
+    return own.mapInArrow(
+        run, f"doc_id {kind}, n_tokens bigint, ids string, decoded string{words.carried(own)}"
+    )

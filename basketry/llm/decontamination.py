@@ -101,7 +101,7 @@ def _without(got: words.Words, texts: list, marked: np.ndarray, i: int) -> str |
     return b"".join([*keep, texts[i][begin:]]).decode()
 
 
-def _by_broadcast(docs: DataFrame, rows: list, window: int) -> DataFrame:
+def _by_broadcast(docs: DataFrame, rows: list) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(WindowSet(rows))
 
     def run(batches):
@@ -115,27 +115,25 @@ def _by_broadcast(docs: DataFrame, rows: list, window: int) -> DataFrame:
                     marked[i : i + size] = True
                     items[int(got.text_of[i])].update(names)
                 clean = [_without(got, some, marked, i) if i in items else None for i in range(len(some))]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(start, end - start),
-                        pa.array(got.counts, pa.int64()),
-                        pa.array(words.runs(marked, got.first), words.spans_type()),
-                        pa.array([sorted(items.get(i, ())) for i in range(len(some))], pa.list_(pa.string())),
-                        pa.array(clean, pa.string()),
-                    ],
-                    ["doc_id", "n_words", "spans", "items", "clean"],
-                )
+                named = [sorted(items.get(i, ())) for i in range(len(some))]
+                made = {
+                    "n_words": pa.array(got.counts, pa.int64()),
+                    "spans": pa.array(words.runs(marked, got.first), words.spans_type()),
+                    "items": pa.array(named, pa.list_(pa.string())),
+                    "clean": pa.array(clean, pa.string()),
+                }
+                yield words.result(batch, start, end, made)
 
-    return docs.mapInArrow(run, f"doc_id {words.kind_of(docs, 'doc_id')}, {_FOUND}")
+    return docs.mapInArrow(run, f"doc_id {words.kind_of(docs, 'doc_id')}, {_FOUND}{words.carried(docs)}")
 
 
-def _by_shuffle(docs: DataFrame, windows: DataFrame, window: int) -> DataFrame:
+def _by_shuffle(docs: DataFrame, windows: DataFrame) -> DataFrame:
     """The same for a benchmark of any size: document windows are joined with its windows.
 
     Matches come back as one row per document and window, so a document's row is as large as
     its own matches.  Equal documents are matched once.
     """
-    sizes = [r[0] for r in windows.select("size").distinct().collect()]  # at most ``window`` numbers
+    sizes = [r[0] for r in windows.select("size").distinct().collect()]  # at most ``window`` sizes
     docs = docs.withColumn("key", F.sha2(F.coalesce("text", F.lit("")), 256))
 
     def probe(batches):
@@ -181,21 +179,22 @@ def _by_shuffle(docs: DataFrame, windows: DataFrame, window: int) -> DataFrame:
                 counts.append(len(got))
                 spans += words.runs(marked, got.first)
                 clean.append(_without(got, [text], marked, 0) if matches[i] else None)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(counts, pa.int64()),
-                    pa.array(spans, words.spans_type()),
-                    batch.column(3).cast(pa.list_(pa.string())),
-                    pa.array(clean, pa.string()),
-                ],
-                ["doc_id", "n_words", "spans", "items", "clean"],
-            )
+            made = {
+                "n_words": pa.array(counts, pa.int64()),
+                "spans": pa.array(spans, words.spans_type()),
+                "items": batch.column(3).cast(pa.list_(pa.string())),
+                "clean": pa.array(clean, pa.string()),
+            }
+            yield words.result(batch, 0, batch.num_rows, made)
 
     both = docs.join(matched, "key", "left").select(
-        "doc_id", "text", "matches", F.coalesce("items", F.array().cast("array<string>")).alias("items")
+        "doc_id",
+        "text",
+        "matches",
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+        *(["row"] if "row" in docs.columns else []),
     )
-    return both.mapInArrow(finish, f"doc_id {words.kind_of(docs, 'doc_id')}, {_FOUND}")
+    return both.mapInArrow(finish, f"doc_id {words.kind_of(docs, 'doc_id')}, {_FOUND}{words.carried(docs)}")
 
 
 def scan(
@@ -205,17 +204,19 @@ def scan(
     max_broadcast: int = MAX_BROADCAST_WINDOWS,
     id_col: str = "doc_id",
     text_col: str = "text",
+    carry: bool = False,
 ) -> DataFrame:
     """``doc_id, n_words, spans, items, clean`` of every document.
 
     ``spans`` are the runs of hit words, end exclusive; ``items`` the sorted ids of items with
-    an occurring window; ``clean`` the text without its hit words, null if nothing was hit.
+    an occurring window; ``clean`` the text without its hit words, null if nothing was hit.  With ``carry`` the whole input row
+    follows as ``row``.
     """
-    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    docs = words.picked(docs, id_col, text_col, carry)
     windows = shared.stage(benchmark_windows(items, window), "benchmark-windows")
     if windows.count() <= max_broadcast:
-        return _by_broadcast(docs, [tuple(r) for r in windows.collect()], window)
-    return _by_shuffle(docs, windows, window)
+        return _by_broadcast(docs, [tuple(r) for r in windows.collect()])
+    return _by_shuffle(docs, windows)
 
 
 def n_hit() -> F.Column:

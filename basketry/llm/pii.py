@@ -263,11 +263,18 @@ def learn(docs: DataFrame, most: int = MAX_TRAINING, text_col: str = "text") ->
 _SPANS = "array<struct<kind: string, start: bigint, end: bigint>>"
 
 
-def find(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def find(
+    docs: DataFrame,
+    weights: np.ndarray,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    carry: bool = False,
+) -> DataFrame:
     """``doc_id, base, spans, masked`` of every document: base spans, all spans, masked text.
 
     Spans are in code points, by kind and start.  ``masked`` has the kind in brackets for each
-    run of overlapping spans; it is null where nothing was found.
+    run of overlapping spans; it is null where nothing was found.  With ``carry`` the whole
+    input row follows as ``row``.
     """
     order = {kind: n for n, kind in enumerate(KINDS)}
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
@@ -307,14 +314,17 @@ def find(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col:
                 masked.append(mask(text, every) if every else None)
             if len(cache) > 100_000:
                 cache = {}
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(base, kind), pa.array(spans, kind), pa.array(masked, pa.string())],
-                ["doc_id", "base", "spans", "masked"],
-            )
-
-    picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return picked.mapInArrow(
-        run, f"doc_id {words.kind_of(picked, 'doc_id')}, base {_SPANS}, spans {_SPANS}, masked string"
+            made = {
+                "base": pa.array(base, kind),
+                "spans": pa.array(spans, kind),
+                "masked": pa.array(masked, pa.string()),
+            }
+            yield words.result(batch, 0, batch.num_rows, made)
+
+    own = words.picked(docs, id_col, text_col, carry)
+    return own.mapInArrow(
+        run,
+        f"doc_id {words.kind_of(own, 'doc_id')}, base {_SPANS}, spans {_SPANS}, masked string{words.carried(own)}",
     )
 
 

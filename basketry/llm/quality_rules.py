@@ -16,6 +16,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketry.llm import words
+
 BUCKETS = 1 << 16
 #: Mean log ratio from which a document is kept.
 THRESHOLD = -0.2
@@ -145,21 +147,18 @@ def rate(
     max_trusted: int = MAX_TRUSTED,
     id_col: str = "doc_id",
     text_col: str = "text",
+    carry: bool = False,
 ) -> DataFrame:
-    """``docs`` with columns ``n_words … n_repeat_words, base_failed, score, kept`` appended.
+    """``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, score, base_failed, kept``.
 
-    A column of that name which ``docs`` already has is replaced.
+    With ``carry`` the whole input row comes with them as ``row``.
     """
-    own = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), words_of(F.col(text_col)).alias("words")
-    )
-    weights = bucket_weights(hashed(own), labels, buckets, max_trusted)
+    own = words.picked(docs, id_col, text_col, carry).withColumn("words", words_of(F.col("text")))
+    own = hashed(own)
+    weights = bucket_weights(own, labels, buckets, max_trusted)
     # One literal array after constant folding.
     table = F.split(F.lit(",".join(f"{w:.6f}" for w in weights)), ",").cast("array<double>")
-    rated = base_counts(
-        hashed(docs.withColumns({"text": F.col(text_col), "words": words_of(F.col(text_col))}))
-    )
-    rated = rated.withColumn("features", _features(buckets))
+    rated = base_counts(own).withColumn("features", _features(buckets))
     total = F.aggregate("features", F.lit(0.0), lambda s, f: s + F.get(table, f))
     rated = rated.withColumns(
         {
@@ -168,5 +167,8 @@ def rate(
             | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")),
         }
     )
-    rated = rated.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
-    return rated.drop("words", "hashes", "features", *([] if "text" in docs.columns else ["text"]))
+    # The row number, never negative, keeps a filter on ``kept`` from being pushed below these
+    # projections, which would repeat their expressions many times over.
+    verdict = ~F.col("base_failed") & (F.col("score") >= threshold)
+    rated = rated.withColumn("kept", verdict & (F.monotonically_increasing_id() >= 0))
+    return rated.drop("text", "words", "hashes", "features")

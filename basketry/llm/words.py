@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from basketry import shared
 
@@ -130,6 +131,26 @@ def kind_of(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 
 
+def picked(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> DataFrame:
+    """``doc_id, text``, and with ``carry`` the whole row as a struct, whatever its columns are."""
+    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *row)
+
+
+def carried(df: DataFrame) -> str:
+    """DDL of the carried row, to append to a result's."""
+    return f", row {kind_of(df, 'row')}" if "row" in df.columns else ""
+
+
+def result(batch: pa.RecordBatch, start: int, end: int, columns: dict) -> pa.RecordBatch:
+    """Rows ``start`` to ``end`` of a batch of picked rows with the columns made for them."""
+    own = batch.slice(start, end - start)
+    made = {"doc_id": own.column(0), **columns}
+    if "row" in own.schema.names:
+        made["row"] = own.column(own.schema.get_field_index("row"))
+    return pa.RecordBatch.from_arrays(list(made.values()), list(made))
+
+
 def spans_type() -> pa.DataType:
     return pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
