@@ -328,6 +328,10 @@ def find(
     )
 
 
+def count_of(spans: str, kind: str) -> F.Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
+
+
 def listed(spans: str) -> F.Column:
     """Spans as ``kind:start:end`` texts, joined by commas."""
     return F.array_join(

@@ -5,7 +5,7 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm import bpe, decontamination, near_dedup, pii, quality_rules
+from basketry.llm import bpe, decontamination, near_dedup, pii, quality_rules, toxicity
 
 
 def tokenizer_path() -> str:
@@ -57,15 +57,24 @@ def op6_decontamination(spark, sf_dir):
 def op8_pii(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     found = pii.find(docs, pii.learn(docs))
-    counts = [
-        F.size(F.filter("base", lambda s, kind=kind: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
-        for kind in pii.KINDS
-    ]
+    counts = [pii.count_of("base", kind).alias(f"n_{kind}") for kind in pii.KINDS]
     return found.select(
         "doc_id", *counts, F.sha2(pii.listed("base"), 256).alias("base_sha256"), pii.listed("spans").alias("spans")
     )
 
 
+def op9_toxicity(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        (toxicity.fold() == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "strongest",
+    )
+
+
 def op10_bpe(spark, sf_dir):
     encoded = bpe.encode(_table(spark, sf_dir, "documents"), tokenizer_path())
     return encoded.select(
@@ -76,5 +85,5 @@ def op10_bpe(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op4_minhash, op6_decontamination, op8_pii, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op3_quality_rules, op4_minhash, op6_decontamination, op8_pii, op9_toxicity, op10_bpe)}
 ORACLE_SQL: dict[str, str] = {}
