@@ -5,7 +5,7 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm import bpe, decontamination, near_dedup, pii, quality_rules, toxicity
+from basketry.llm import bpe, decontamination, near_dedup, pii, quality_rules, substring_dedup, toxicity
 
 
 def tokenizer_path() -> str:
@@ -21,6 +21,11 @@ def _table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark, sf_dir):
+    found = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_quality_rules(spark, sf_dir):
     rated = quality_rules.rate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return rated.select(
@@ -85,5 +90,5 @@ def op10_bpe(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op4_minhash, op6_decontamination, op8_pii, op9_toxicity, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_quality_rules, op4_minhash, op6_decontamination, op8_pii, op9_toxicity, op10_bpe)}
 ORACLE_SQL: dict[str, str] = {}
