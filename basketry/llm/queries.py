@@ -5,7 +5,7 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm import bpe, decontamination, near_dedup, pii, quality_rules, substring_dedup, toxicity
+from basketry.llm import bpe, decontamination, lm_scoring, near_dedup, pii, quality_rules, substring_dedup, toxicity
 
 
 def tokenizer_path() -> str:
@@ -26,6 +26,10 @@ def op1_substring_dedup(spark, sf_dir):
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_lm_scoring(spark, sf_dir):
+    return lm_scoring.score(_table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark, sf_dir):
     rated = quality_rules.rate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return rated.select(
@@ -90,5 +94,5 @@ def op10_bpe(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_quality_rules, op4_minhash, op6_decontamination, op8_pii, op9_toxicity, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_lm_scoring, op3_quality_rules, op4_minhash, op6_decontamination, op8_pii, op9_toxicity, op10_bpe)}
 ORACLE_SQL: dict[str, str] = {}
