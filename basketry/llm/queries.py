@@ -5,7 +5,18 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm import bpe, decontamination, lm_scoring, near_dedup, pii, quality_rules, substring_dedup, toxicity
+from basketry.llm import (
+    bpe,
+    decontamination,
+    html_extraction,
+    lm_scoring,
+    near_dedup,
+    pii,
+    quality_rules,
+    substring_dedup,
+    toxicity,
+    url_filters,
+)
 
 
 def tokenizer_path() -> str:
@@ -49,6 +60,46 @@ def op4_minhash(spark, sf_dir):
     return near_dedup.classes(_table(spark, sf_dir, "documents"))
 
 
+def _fetched() -> F.Column:
+    """Pages carry no fetch day: it is read off the page id, within a year."""
+    return F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 360).cast("int"))
+
+
+def _list_entries(pages: DataFrame) -> DataFrame:
+    """A dated list over the hosts of the pages: named abusers, and hosts by their first page."""
+    hosts = (
+        pages.select(url_filters.host_of(F.col("url")).alias("host"), "page_id")
+        .where("host IS NOT NULL")
+        .groupBy("host")
+        .agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
+    )
+    start = F.lit("2024-01-01").cast("date")
+    domain = F.regexp_replace("host", r"^(www|m|blog)\.", "")
+
+    def entry(name, category, day, action, where):
+        return hosts.where(where).select(
+            name.alias("domain"), category.alias("category"), day.alias("day"), F.lit(action).alias("action")
+        )
+
+    shift = lambda days: F.date_add(start, days.cast("int"))
+    abuse = F.regexp_extract("host", "(spam|pills|adult)", 1)
+    report = F.when(F.col("first") % 2 == 0, "report").otherwise("phishing")
+    added = F.col("first") % 300
+    return (
+        entry(domain, abuse, shift(F.lit(20)), "add", "host rlike 'spam|pills|adult'")
+        .unionByName(entry(F.col("host"), report, shift(added), "add", "first % 4 = 1 or first % 3 = 0"))
+        .unionByName(entry(F.col("host"), report, shift(added + 10 + F.col("n") % 60), "drop", "first % 4 = 1"))
+        .unionByName(entry(F.col("host"), report, shift(added + 80), "add", "first % 8 = 1"))
+        .unionByName(entry(domain, report, shift(added + 5), "add", "first % 5 = 2"))
+    )
+
+
+def op5_url_filters(spark, sf_dir):
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url").withColumn("fetched", _fetched())
+    judged = url_filters.judge(pages, _list_entries(pages))
+    return judged.select("page_id", "url", "host", "fetched", "listed", "categories", "blocked")
+
+
 def op6_decontamination(spark, sf_dir):
     scanned = decontamination.scan(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
@@ -63,6 +114,11 @@ def op6_decontamination(spark, sf_dir):
     )
 
 
+def op7_html_extraction(spark, sf_dir):
+    found = html_extraction.extract(_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 def op8_pii(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     found = pii.find(docs, pii.learn(docs))
@@ -94,5 +150,59 @@ def op10_bpe(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_lm_scoring, op3_quality_rules, op4_minhash, op6_decontamination, op8_pii, op9_toxicity, op10_bpe)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_substring_dedup,
+        op2_lm_scoring,
+        op3_quality_rules,
+        op4_minhash,
+        op5_url_filters,
+        op6_decontamination,
+        op7_html_extraction,
+        op8_pii,
+        op9_toxicity,
+        op10_bpe,
+    )
+}
+
+ORACLE_SQL: dict[str, str] = {
+    "op5_url_filters": r"""
+WITH captures AS (
+  SELECT page_id, url, DATE '2024-01-01' + CAST(page_id % 360 AS INTEGER) AS fetched,
+         nullif(regexp_replace(regexp_replace(
+           regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://([^/?#]*)', 1), '^.*@', ''),
+           '\.?(:[0-9]*)?$', ''), '') AS host
+  FROM pages),
+hosts AS (SELECT host, min(page_id) AS first, count(*) AS n FROM captures WHERE host IS NOT NULL GROUP BY host),
+named AS (
+  SELECT *, regexp_replace(host, '^(www|m|blog)\.', '') AS domain, DATE '2024-01-01' AS start,
+         CASE WHEN first % 2 = 0 THEN 'report' ELSE 'phishing' END AS report FROM hosts),
+entries AS (
+  SELECT domain, regexp_extract(host, '(spam|pills|adult)', 1) AS category, start + 20 AS day, 'add' AS action
+  FROM named WHERE regexp_matches(host, 'spam|pills|adult')
+  UNION ALL SELECT host, report, start + CAST(first % 300 AS INTEGER), 'add' FROM named
+  WHERE first % 4 = 1 OR first % 3 = 0
+  UNION ALL SELECT host, report, start + CAST(first % 300 + 10 + n % 60 AS INTEGER), 'drop' FROM named
+  WHERE first % 4 = 1
+  UNION ALL SELECT host, report, start + CAST(first % 300 + 80 AS INTEGER), 'add' FROM named WHERE first % 8 = 1
+  UNION ALL SELECT domain, report, start + CAST(first % 300 + 5 AS INTEGER), 'add' FROM named WHERE first % 5 = 2),
+days AS (SELECT domain, category, day, max(action) AS action FROM entries GROUP BY ALL),
+valid AS (
+  SELECT domain, category, action, day AS since,
+         lead(day) OVER (PARTITION BY domain, category ORDER BY day) AS until FROM days),
+hits AS (
+  SELECT c.page_id, v.domain, v.category
+  FROM captures c JOIN valid v
+    ON (c.host = v.domain OR ends_with(c.host, '.' || v.domain)) AND contains(v.domain, '.')
+   AND c.fetched >= v.since AND (v.until IS NULL OR c.fetched < v.until)
+  WHERE v.action = 'add'),
+verdicts AS (
+  SELECT page_id, max_by(domain, length(domain)) AS listed,
+         array_to_string(list_sort(list_distinct(list(category))), ',') AS categories
+  FROM hits GROUP BY page_id)
+SELECT c.page_id, c.url, c.host, c.fetched, coalesce(v.listed, '') AS listed,
+       coalesce(v.categories, '') AS categories, v.listed IS NOT NULL AS blocked
+FROM captures c LEFT JOIN verdicts v USING (page_id)
+""",
+}
