@@ -31,7 +31,9 @@ from basketry.llm import words
 shared.ship(__name__)
 
 #: Labelled texts of each class that training reads, the first by a hash of their id.
-MAX_TOXIC, MAX_CLEAN = 3_000, 4_000
+MAX_TOXIC, MAX_CLEAN = 1_500, 2_500
+#: Words of clean texts that training holds against the toxic ones, the most frequent.
+MAX_CLEAN_WORDS = 60_000
 TOXIC_LANDMARKS, CLEAN_LANDMARKS = 48, 24
 ROUNDS = 3
 #: Words of a toxic text that are taken for its evidence in a round.
@@ -105,8 +107,9 @@ def features(parts: list[str]) -> np.ndarray:
     out = np.zeros((len(parts), _TRIPLES), np.float32)
     for at, codes, weights in by_length(parts):
         np.add.at(out, (at[:, None], codes), weights)
-    norms = np.sqrt((out**2).sum(1, keepdims=True))
-    return out / np.where(norms > 0, norms, 1)
+    norms = np.sqrt(np.einsum("ij,ij->i", out, out))
+    out /= np.where(norms > 0, norms, 1)[:, None].astype(np.float32)
+    return out
 
 
 def products(parts: list[str], table: np.ndarray) -> np.ndarray:
@@ -184,7 +187,7 @@ def _logistic(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
 def _spread(ranked: list[str], count: int) -> list[str]:
     """The first ``count`` words that aren't almost the same as an earlier one."""
     chosen: list[str] = []
-    ranked = ranked[: 8 * count]
+    ranked = ranked[: 4 * count]
     vectors = features(ranked)
     for i in range(len(ranked)):
         if vectors[i].any() and all(vectors[i] @ vectors[j] < 0.95 for j in chosen) and len(chosen) < count:
@@ -203,8 +206,10 @@ def train(toxic: list[str], harmless: list[str]) -> Model | None:
     """A model from labelled texts; None if one of the classes is empty."""
     if not toxic or not harmless:
         return None
-    bags = [sorted({p for w in set(sentence_words(t)) for p in pieces(w) if len(p) > 2}) for t in toxic]
-    others = [sorted({p for w in set(sentence_words(t)) for p in pieces(w) if len(p) > 2}) for t in harmless]
+    def parts_of(text: str) -> list[str]:
+        return sorted({p for w in set(sentence_words(text)) for p in pieces(w) if len(p) > 2})
+
+    bags, others = [parts_of(t) for t in toxic], [parts_of(t) for t in harmless]
     in_toxic, in_clean = Counter(w for b in bags for w in b), Counter(w for b in others for w in b)
 
     def odds(word: str) -> float:
@@ -225,38 +230,39 @@ def train(toxic: list[str], harmless: list[str]) -> Model | None:
     # Columns of ``basis`` give a word's coordinates from its kernels with the landmarks.
     basis = (axes[:, keep] / np.sqrt(values[keep])).astype(np.float32)
     kernels = np.ascontiguousarray(vectors.T)
-    vocabulary = sorted(in_toxic.keys() | in_clean.keys())
-    place = {w: i for i, w in enumerate(vocabulary)}
-    coordinates = products(vocabulary, kernels) @ basis
-    negative = np.array([i for i, w in enumerate(vocabulary) if in_clean[w]], np.int64)
-    bag_at = [np.array([place[w] for w in b], np.int64) for b in bags if b]
-    # At first a word counts by how many toxic texts it explains.
-    margins = np.array([in_toxic[w] * signal.get(w, 0.0) for w in vocabulary])
-    # What clean texts use as well is evidence only if it is significant.
-    eligible = np.array([w in signal or not in_clean[w] for w in vocabulary])
+    # Evidence is a word of several toxic texts that clean ones use hardly or not at all.
+    evidence = sorted(w for w, n in in_toxic.items() if w in signal or (n > 1 and not in_clean[w]))
+    place = {w: i for i, w in enumerate(evidence)}
+    coordinates = products(evidence, kernels) @ basis
+    against = usual[:MAX_CLEAN_WORDS]
+    negative = products(against, kernels) @ basis
+    weight_against = np.array([in_clean[w] for w in against]) ** 0.5
+    own = [np.array([place[w] for w in b if w in place], np.int64) for b in bags]
     # Copies of the best words with a letter put in between teach the machine to bear that.
-    altered = sorted({v for w in ranked[:VARIED] for v in inserted(w)} - place.keys())
-    variants = products(altered, kernels) @ basis if altered else coordinates[:0]
+    altered = sorted({v for w in ranked[:VARIED] for v in inserted(w)} - in_clean.keys())
+    variants = products(altered, kernels) @ basis
+    # At first a word counts by how many toxic texts it explains.
+    margins = np.array([in_toxic[w] * signal.get(w, 0.0) for w in evidence])
     weights, bias = np.zeros(basis.shape[1]), 0.0
     for _ in range(ROUNDS):
         # The strongest words of each toxic text; texts without evidence don't take part.
-        evidence = np.where(eligible, margins, -np.inf)
-        strongest = np.concatenate([b[np.argsort(-evidence[b], kind="stable")[:STRONGEST]] for b in bag_at])
-        strongest = strongest[evidence[strongest] > 0]
+        strongest = np.concatenate([b[np.argsort(-margins[b], kind="stable")[:STRONGEST]] for b in own])
+        strongest = strongest[margins[strongest] > 0]
         if not len(strongest):
             break
-        x = np.concatenate([coordinates[strongest], variants, coordinates[negative]])
-        y = np.concatenate([np.ones(len(strongest) + len(variants)), -np.ones(len(negative))])
-        weight = np.concatenate(
-            [np.ones(len(strongest) + len(variants)), np.array([in_clean[vocabulary[i]] for i in negative]) ** 0.5]
-        )
-        weights, bias = _svm(x, y, weight)
+        x = np.concatenate([coordinates[strongest], variants, negative])
+        ones = len(strongest) + len(variants)
+        y = np.concatenate([np.ones(ones), -np.ones(len(negative))])
+        weights, bias = _svm(x, y, np.concatenate([np.ones(ones), weight_against]))
         margins = coordinates @ weights + bias
-    table = (kernels @ (basis @ weights)).astype(np.float32)
-    model = Model(table, bias)
+    model = Model((kernels @ (basis @ weights)).astype(np.float32), bias)
+    known: dict[str, float] = {}
 
     def strongest_of(group):
-        return np.array([max((margins[place[w]] for w in b), default=bias) for b in group])
+        for b in group:
+            if new := [w for w in b if w not in known]:
+                known.update(zip(new, model.margins(new).tolist(), strict=True))
+        return np.array([max((known[w] for w in b), default=bias) for b in group])
 
     both = np.concatenate([strongest_of(bags), strongest_of(others)])
     labels = np.concatenate([np.ones(len(bags)), np.zeros(len(others))])
