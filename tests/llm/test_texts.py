@@ -1,0 +1,243 @@
+"""Extraction, personal data, toxicity and tokenization."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+from samples import SF_DIR
+
+from basketry.llm import bpe, html_extraction, pii, queries, toxicity
+
+PAGE = """<!DOCTYPE html><html><head><title>T &amp; t</title><style>p{}</style><script>var a="</p>";</script></head>
+<body class="has-sidebar"><header><p>Site</p></header><nav><ul><li>Menu</ul></nav><div class="cookie-notice">We use
+cookies</div>%s<div id="comments"><p>First!</p></div><form><p>Search <input></p></form><footer>&copy; x</footer></body></html>"""
+
+
+def test_article_without_its_surroundings():
+    html = PAGE % (
+        "<article><header><h1>Head&nbsp;line</h1></header><p><b>One &lt;two&gt;\n three<br>four<p>five &amp six"
+        '<aside>Ad</aside><div class="share">Share</div></article>'
+    )
+    assert html_extraction.text_lines(html) == (["Head line", "One <two> three four", "five & six"], True)
+
+
+def test_unclosed_elements_and_empty_pages():
+    assert html_extraction.text_lines("<nav><ul><li>a<article><p>b") == (["b"], True)
+    assert html_extraction.text_lines("<head><title>t</title><p>x") == (["x"], False)
+    assert html_extraction.text_lines(None) == html_extraction.text_lines("") == ([], True)
+
+
+def test_template_lines_are_found_by_differencing(spark):
+    def page(i):
+        return PAGE % f"<div><p>About this site</p><p>Text number {i}</p><p>Imprint</p></div>"
+
+    rows = [(i, f"http://h.example/a/{i}", page(i)) for i in range(6)]
+    rows += [(10, "http://alone.example/", page(10)), (11, None, None), (12, "nothing", ""), (12, "nothing", "")]
+    rows += [(20, "http://copy.example/1", page(20)), (21, "http://copy.example/2", page(20))]
+    pages = spark.createDataFrame([(*r, "u") for r in rows], "page_id bigint, url string, html string, lines string")
+    got = {r.page_id: r.text for r in html_extraction.extract(pages).collect()}
+    whole = "About this site\nText number {}\nImprint"
+    assert got == {i: f"Text number {i}" for i in range(6)} | {
+        10: whole.format(10), 11: "", 12: "", 20: whole.format(20), 21: whole.format(20)
+    }
+    assert html_extraction.extract(pages).count() == len(rows)
+    assert html_extraction.extract(pages.limit(0)).count() == 0
+
+
+def test_cells_split_a_host(spark, monkeypatch):
+    monkeypatch.setattr(html_extraction, "CELL_BYTES", 2000)
+    rows = [(i, "http://h.example/same", f"<p>Frame</p><p>Text {i}</p>" + " " * 500) for i in range(60)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    assert len(html_extraction._borders(pages.selectExpr("page_id", "url", "lpad(page_id, 9, '0') AS key", "html"))) > 5
+    assert {r.text for r in html_extraction.extract(pages).collect()} == {f"Text {i}" for i in range(60)}
+
+
+def test_common_subsequence_is_longest():
+    rng = random.Random(1)
+    for _ in range(200):
+        a, b = ([rng.choice("abcd") for _ in range(rng.randrange(9))] for _ in range(2))
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+        assert len(html_extraction.common(a, b)) == best[-1][-1]
+
+
+def brute_spans(text):
+    def digits(m):
+        return re.sub("[^0-9]", "", m[0])
+
+    def luhn(d):
+        doubled = [int(c) * (1 + i % 2) for i, c in enumerate(d[::-1])]
+        return sum(x - 9 if x > 9 else x for x in doubled) % 10 == 0
+
+    email = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
+    out = [("email", *m.span()) for m in re.finditer(email, text)]
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(x) <= 255 for x in m[0].split(".")):
+            out.append(("ip", *m.span()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        if 16 <= len(digits(m)) <= 19 and luhn(digits(m)):
+            out.append(("card", *m.span()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 8 <= len(digits(m)) <= 15:
+            out.append(("phone", *m.span()))
+    return out
+
+
+def test_base_spans_equal_brute_force():
+    rng = random.Random(3)
+    parts = ["1", "2", "25", "4111 1111 1111 1111", ".", "@", "a", "é", " ", "  ", "-", "+", "(", ")", "x.y", "\n", "%"]
+    for _ in range(5000):
+        text = "".join(rng.choice([*parts, "+1 (2"]) for _ in range(rng.randrange(1, 25)))
+        got = [(k, s + a, s + b) for s, e in pii.islands(text) for k, a, b in pii.base_spans(text[s:e])]
+        assert sorted(got) == sorted(brute_spans(text)), text
+
+
+def test_personal_data_of_whole_tables(spark, documents, odd):
+    weights = pii.learn(documents)
+    found = {r.doc_id: r for r in pii.find(documents, weights).collect()}
+    for r in documents.collect():
+        own = found[r.doc_id]
+        base = [tuple(s) for s in own.base]
+        assert sorted(base) == sorted(brute_spans(r.text))
+        assert set(base) <= {tuple(s) for s in own.spans}
+        assert not own.spans or not any(r.text[s.start : s.end] in own.masked for s in own.spans)
+    assert pii.find(odd, weights, carry=True).count() == odd.count()
+    assert pii.find(odd.limit(0), pii.learn(odd.limit(0))).count() == 0
+
+
+def test_field_learns_boundaries_and_kinds():
+    rng = random.Random(4)
+    number = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    texts = [f"+1 ({number(3)}) 555-{number(4)}" for _ in range(40)]
+    texts += [f"ab{number(2)}.{number(2)}@mail{number(1)}.example.com" for _ in range(40)]
+    texts += [".".join(str(rng.randrange(256)) for _ in range(4)) for _ in range(40)]
+    texts += [f"{number(1)}.{number(1)}" for _ in range(20)] + [number(12) for _ in range(20)]
+    weights = pii.train(texts)
+    assert pii.decode("(212) 555-1234", weights, {}) == [("phone", 0, 14)]
+    assert pii.decode("x12.13@mail3.example.com", weights, {}) == [("email", 0, 24)]
+    assert pii.decode("9.8", weights, {}) == []
+
+
+def test_posteriors_equal_enumeration():
+    rng = np.random.default_rng(2)
+    segments = [(i, j, []) for i in range(4) for j in range(i + 1, min(i + 3, 4) + 1)]
+    scores = rng.normal(size=(len(segments), len(pii.KINDS)))
+
+    def paths(at):
+        if at == 4:
+            return [((), 0.0)]
+        out = list(paths(at + 1))
+        for k, (i, j, _) in enumerate(segments):
+            if i == at:
+                out += [(((k, t), *p), s + scores[k, t]) for t in range(4) for p, s in paths(j)]
+        return out
+
+    every = paths(0)
+    total = sum(np.exp(s) for _, s in every)
+    expected = np.zeros_like(scores)
+    for path, s in every:
+        for k, t in path:
+            expected[k, t] += np.exp(s) / total
+    assert np.allclose(pii._posteriors(4, segments, scores), expected)
+
+
+def kernel(a, b, decay=toxicity.DECAY):
+    from itertools import combinations
+
+    def weights(s):
+        out = {}
+        for i, j, k in combinations(range(len(s)), 3):
+            key = s[i] + s[j] + s[k]
+            out[key] = out.get(key, 0) + decay ** (k - i - 2)
+        return out
+
+    x, y = weights(a), weights(b)
+    norm = (sum(v * v for v in x.values()) * sum(v * v for v in y.values())) ** 0.5
+    return sum(x[u] * y.get(u, 0) for u in x) / norm
+
+
+def test_products_are_string_kernels():
+    some = ["idiot", "idioot", "banana", "xidxiot", "abc"]
+    got = toxicity.products(some, np.ascontiguousarray(toxicity.features(some).T))
+    assert np.allclose(got, [[kernel(a, b) for b in some] for a in some], atol=1e-5)
+
+
+def test_toxicity_on_held_out_texts(spark):
+    rng = random.Random(6)
+    plain = ["".join(rng.choice("aeioutnrsl") for _ in range(rng.randrange(3, 9))) for _ in range(400)]
+    bad = ["moron", "pathetic", "scumbag"]
+    rows = []
+    for i in range(600):
+        own = [rng.choice(plain) for _ in range(30)]
+        if i % 4 == 0:
+            own[rng.randrange(30)] = rng.choice(bad)
+        rows.append((i, " ".join(own) + ".", int(i % 4 == 0)))
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    model = toxicity.learn(table.drop("toxic"), table.select("doc_id", "toxic"))
+    scored = toxicity.score(table, model).join(table, "doc_id").where(toxicity.fold() == 0).collect()
+    assert np.mean([(r.score >= 0.5) == r.toxic for r in scored]) > 0.95
+    odd_forms = ["you m o r o n!", "mor-on", "morron", "PATHETIC", "patthetic", "scumxbag"]
+    extra = spark.createDataFrame(list(enumerate(odd_forms)), "doc_id bigint, text string")
+    assert all(r.score >= 0.5 for r in toxicity.score(extra, model).collect())
+
+
+def test_toxicity_of_odd_rows(spark, odd, labels):
+    model = toxicity.learn(odd, labels)
+    rows = toxicity.score(odd, model).collect()
+    assert len(rows) == odd.count() and all(0 <= r.score <= 1 for r in rows)
+    none = toxicity.learn(odd, labels.limit(0))
+    assert none is None and {r.score for r in toxicity.score(odd, none).collect()} == {0.0}
+    assert toxicity.score(odd.limit(0), model).count() == 0
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    tokenizers = pytest.importorskip("tokenizers")
+    return tokenizers.Tokenizer.from_file(queries.tokenizer_path())
+
+
+def expected_tokens(tokenizer, text):
+    got = tokenizer.encode(text or "", add_special_tokens=False)
+    return len(got.ids), " ".join(map(str, got.ids)), tokenizer.decode(got.ids, skip_special_tokens=False)
+
+
+def test_tokens_equal_the_library(tokenizer):
+    rng = random.Random(8)
+    letters = ["a", "A", "b", "the", "ing", "T's", " ", "\n", "\t", "\x1c", "'", "é", "é", "#", "ΣΣ", "σ", "İ", "ß", "中"]
+    letters += ["½", "🎉", "՘", " ", "<|endoftext|>", "<|startoftext|>", "_", "²", "1", "२"]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(60))) for _ in range(1500)]
+    texts += [None, "", "x" * 3000, "the" * 2000, "ab" * 3 + " " * 50]
+    encoder = bpe.Encoder(bpe.Vocabulary(queries.tokenizer_path()))
+    assert encoder.texts(texts) == [expected_tokens(tokenizer, t) for t in texts]
+
+
+def test_tokens_of_whole_tables(spark, tokenizer, documents, odd):
+    for docs in (documents, odd):
+        got = sorted((str(r.doc_id), r.n_tokens, r.ids, r.decoded) for r in bpe.encode(docs, queries.tokenizer_path()).collect())
+        assert got == sorted((str(r.doc_id), *expected_tokens(tokenizer, r.text)) for r in docs.collect())
+    assert bpe.encode(odd.limit(0), queries.tokenizer_path()).count() == 0
+
+
+def test_root_yields_the_leftmost_lowest_rank():
+    vocabulary = bpe.Vocabulary(queries.tokenizer_path())
+    ranks = dict(zip(vocabulary.keys.tolist(), vocabulary.ranks.tolist(), strict=True))
+    rng = random.Random(9)
+    found = [bytes(rng.choice(b"aeinrstho") for _ in range(rng.randrange(1, 40))) for _ in range(300)]
+    for word, ids in zip(found, bpe.encode_words(found, vocabulary), strict=True):
+        own = [*vocabulary.inner[list(word[:-1])].tolist(), int(vocabulary.last[word[-1]])]
+        while len(own) > 1:
+            rank, at = min((ranks.get(a << 32 | b, 1 << 60), i) for i, (a, b) in enumerate(zip(own, own[1:], strict=False)))
+            if rank == 1 << 60:
+                break
+            own[at : at + 2] = [int(vocabulary.merged[rank])]
+        assert own == ids
+
+
+def test_queries_return_their_columns(spark):
+    n_docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").count()
+    for name, query in queries.QUERIES.items():
+        assert query(spark, SF_DIR).limit(1).count() == 1, name
+    assert queries.op9_toxicity(spark, SF_DIR).where("score BETWEEN 0 AND 1").count() == n_docs
