@@ -17,10 +17,10 @@ def epoch_seconds(ts) -> Column:
     return day * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
 
 
-def normalise_epoch(ts) -> Column:
-    """Seconds from a column that mixes seconds and milliseconds."""
-    ts = _col(ts).cast("bigint")
-    return F.when(ts > 100_000_000_000, F.floor(ts / 1000)).otherwise(ts).cast("bigint")
+def normalise_epoch(ts, unit: str = "s") -> Column:
+    """Seconds from a source that counts in seconds (``s``) or milliseconds (``ms``)."""
+    per_second = {"s": 1, "ms": 1000}[unit]
+    return F.floor(_col(ts).cast("bigint") / F.lit(per_second)).cast("bigint")
 
 
 def change_date(epoch, zone: str = "UTC") -> Column:
@@ -66,7 +66,8 @@ def user_id_from_name(name) -> Column:
     # A code point above U+FFFF counts as its two surrogate units.
     units = F.flatten(
         F.transform(
-            F.split(_col(name), ""),
+            # Splitting leaves an empty piece at the end.
+            F.filter(F.split(_col(name), ""), lambda ch: ch != ""),
             lambda ch: F.when(
                 _code_point(ch) > 0xFFFF,
                 F.array(
@@ -77,7 +78,7 @@ def user_id_from_name(name) -> Column:
         )
     )
     unsigned = F.aggregate(
-        F.filter(units, lambda u: u > 0),
+        units,
         F.lit(0).cast("bigint"),
         lambda acc, u: F.pmod(acc * 31 + u, F.lit(1 << 32)),
     )
@@ -96,10 +97,6 @@ def redecode_query(text) -> Column:
     return F.decode(F.encode(_col(text), "ISO-8859-1"), "UTF-8")
 
 
-def epoch_now() -> Column:
-    return F.unix_timestamp()
-
-
 def event_payload(user, product, score, epoch) -> Column:
     return F.concat_ws(
         settings.EVENT_SEPARATOR,

@@ -184,7 +184,7 @@ def _similar_in_tile(key: tuple, rows: pd.DataFrame, min_sim: float) -> pd.DataF
     first = np.flatnonzero(side == 0)
     second = first if low == high else np.flatnonzero(side == 1)
     dots = _products(owner, terms, units, len(rows), first, second)
-    similar = np.round(dots, 9) > min_sim
+    similar = dots > min_sim
     if earlier.any():
         # Such a pair is reported by the group of the earlier shared prefix term.
         ones = np.ones(int(earlier.sum()))

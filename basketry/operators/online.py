@@ -71,7 +71,7 @@ def score_candidates(
         ),
         "userId",
     )
-    close = sim.where(F.round("score", 9) > min_sim)
+    close = sim.where(F.col("score") > min_sim)
     liked = F.col("rating") > positive_above
     return (
         pairs.join(close, ["product1", "product2"])

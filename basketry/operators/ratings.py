@@ -31,6 +31,13 @@ def upsert(base: DataFrame, updates: DataFrame, order=("timestamp",)) -> DataFra
     )
 
 
+def last_ratings(ratings: DataFrame, order=("timestamp",)) -> DataFrame:
+    """A rating table with one row per (user, product): last score, first time."""
+    return ratings.groupBy(*_KEY).agg(
+        F.max_by("score", F.struct(*order)).alias("score"), F.min("timestamp").alias("timestamp")
+    )
+
+
 def recent_queue(
     events: DataFrame, order=("timestamp",), size: int = settings.QUEUE_SIZE
 ) -> DataFrame:

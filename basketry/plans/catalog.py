@@ -3,7 +3,7 @@
 Results are in long form, ids are ints and scores are rounded to six decimals.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry import schemas, settings, shared
@@ -21,7 +21,7 @@ from basketry.operators import (
     statistics,
 )
 from basketry.sinks import tables as sink
-from basketry.sources import files, tables, warehouse
+from basketry.sources import files, streams, tables, warehouse
 from basketry.streaming import log_filter, recent_queue
 from basketry.streaming.online import OnlineRecommender
 
@@ -241,8 +241,7 @@ def dense_similar(spark, sf_dir):
 
 def _base_ratings(spark, sf_dir) -> DataFrame:
     """Ratings with one row per (user, product)."""
-    rated = warehouse.ratings(spark, sf_dir)
-    return ratings.upsert(rated.limit(0), rated, ("timestamp", "score"))
+    return ratings.last_ratings(warehouse.ratings(spark, sf_dir), ("timestamp", "score"))
 
 
 def rating_upsert(spark, sf_dir):
@@ -265,9 +264,14 @@ def recent_queue_items(spark, sf_dir):
     return ratings.recent_ratings(ratings.parse_queue_items(items))
 
 
+def _asked() -> Column:
+    """Events of the second half of the month are rating requests, earlier ones were queued."""
+    return F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz")
+
+
 def _rating_requests(spark, sf_dir) -> DataFrame:
     """Rating requests on the 0-10 scale."""
-    return warehouse.rating_events(spark, sf_dir).withColumn(
+    return warehouse.rating_events(spark, sf_dir).where(_asked()).withColumn(
         "score", (F.col("event_id") % 41).cast("double") / 4
     )
 
@@ -279,7 +283,7 @@ def score_halving(spark, sf_dir):
 def _rate(spark, sf_dir) -> dict[str, DataFrame]:
     return ratings.rate(
         _base_ratings(spark, sf_dir),
-        warehouse.rating_events(spark, sf_dir).limit(0),
+        ratings.recent_queue(warehouse.rating_events(spark, sf_dir).where(~_asked()), _EVENT_ORDER),
         _rating_requests(spark, sf_dir),
         _EVENT_ORDER,
     )
@@ -356,12 +360,7 @@ def log_filter_batch(spark, sf_dir):
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = warehouse.table(spark, sf_dir, "events").schema
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
-    )
+    return streams.table_stream(spark, f"{sf_dir}/events.parquet")
 
 
 def stream_log_filter(spark, sf_dir):
@@ -487,13 +486,13 @@ def stream_recs_lookup(spark, sf_dir):
 
 
 def _two_batches(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """Each user's ten best rated products before the last day, and on it."""
+    """Each user's rated products before the last day, and on it, best first."""
     events = warehouse.rating_events(spark, sf_dir)
     last_day = F.col("ts") >= F.lit("2024-01-30").cast("timestamp_ntz")
 
     def best(part: DataFrame) -> DataFrame:
         means = part.groupBy("userId", "productId").agg(F.avg("score").alias("score"))
-        return ranking.rank_recs(means, "userId", 10)
+        return ranking.list_rank(means, "userId")
 
     return best(events.where(~last_day)), best(events.where(last_day))
 
@@ -515,7 +514,7 @@ def merge_stream_recs(spark, sf_dir):
 
 
 def hybrid_blend(spark, sf_dir):
-    """Item-CF and content lists of the last rated product, and online scores."""
+    """Item-CF lists and whole content lists of the last rated product, and online scores."""
     triggers = _triggers(spark, sf_dir)
 
     def of_trigger(top: DataFrame) -> DataFrame:
@@ -523,6 +522,9 @@ def hybrid_blend(spark, sf_dir):
             "userId", F.col("recId").alias("productId"), "score"
         )
 
+    whole = content.similar_products(
+        _words(spark, sf_dir), requests=triggers.select("productId").distinct()
+    ).select(F.col("product1").alias("productId"), F.col("product2").alias("recId"), "score")
     return _rounded(
         blend.blend(
             {
@@ -530,7 +532,7 @@ def hybrid_blend(spark, sf_dir):
                     of_trigger(itemcf.cooccurrence_top(warehouse.ratings(spark, sf_dir))),
                     0.5,
                 ),
-                "content": (of_trigger(content.top_similar(_words(spark, sf_dir), 10)), 0.2),
+                "content": (of_trigger(whole), 0.2),
                 "stream": (_online_scores(spark, sf_dir), 0.3),
             }
         )

@@ -27,6 +27,23 @@ def log_tail(spark: SparkSession, folder: str, max_files: int | None = None) ->
     return lines.where(lines.value.rlike(settings.LOG_LINE_PATTERN))
 
 
+def table_stream(
+    spark: SparkSession, path: str, max_files: int | None = None, schema=None
+) -> DataFrame:
+    """The rows of a stored table as a stream, whether it is one file or a folder of part files.
+
+    A file source takes a folder or a glob, so the table is named by a glob that only its own
+    path matches.  A table that isn't there fails here rather than giving an empty stream.
+    """
+    if schema is None:
+        schema = spark.read.parquet(path).schema
+    path = path.rstrip("/")
+    reader = spark.readStream.schema(schema)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
+
+
 def parquet_stream(
     spark: SparkSession, folder: str, schema, pattern: str = "*.parquet", max_files=None
 ) -> DataFrame:

@@ -21,7 +21,9 @@ def extract_payloads(lines: DataFrame) -> DataFrame:
     return keep_rating_lines(lines).withColumn("value", payload())
 
 
-def parse_events(payloads: DataFrame, permissive: bool = False) -> DataFrame:
+def parse_events(
+    payloads: DataFrame, permissive: bool = False, time_unit: str = "s"
+) -> DataFrame:
     """``userId|productId|score|timestamp`` to typed columns.
 
     A malformed event fails the job; in permissive mode its columns are null and the text
@@ -38,7 +40,7 @@ def parse_events(payloads: DataFrame, permissive: bool = False) -> DataFrame:
         field(0, "int").alias("userId"),
         field(1, "int").alias("productId"),
         field(2, "double").alias("score"),
-        scalars.normalise_epoch(field(3, "bigint")).alias("timestamp"),
+        scalars.normalise_epoch(field(3, "bigint"), time_unit).alias("timestamp"),
     )
     return typed
 

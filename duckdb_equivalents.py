@@ -75,7 +75,7 @@ dots AS (
 content_sim AS (
   SELECT product1, product2, dot / (x.norm * y.norm) AS score
   FROM dots JOIN norms x ON product1 = x.productId JOIN norms y ON product2 = y.productId
-  WHERE round(dot / (x.norm * y.norm), 9) > 0.4),
+  WHERE dot / (x.norm * y.norm) > 0.4),
 content_ranked AS (
   SELECT *, row_number() OVER (
     PARTITION BY product1 ORDER BY round(score, 9) DESC, product2) AS rank
@@ -93,10 +93,15 @@ QUEUE = """queue AS (
              PARTITION BY userId ORDER BY ts DESC, event_id DESC) AS INT) AS rank
     FROM rating_events) WHERE rank <= 40)"""
 
-RATE_REQUESTS = """rate_requests AS (
+_ASKED = "ts >= TIMESTAMP '2024-01-16'"
+
+RATE_REQUESTS = f"""rate_requests AS (
   SELECT userId, productId, round(CAST(event_id % 41 AS DOUBLE) / 4 / 2, 2) AS score,
          "timestamp", ts, event_id
-  FROM rating_events)"""
+  FROM rating_events WHERE {_ASKED}),
+queued AS (
+  SELECT userId, productId, score, ts, event_id FROM rating_events WHERE NOT {_ASKED}
+  UNION ALL SELECT userId, productId, score, ts, event_id FROM rate_requests)"""
 
 
 def _upsert(updates: str) -> str:
@@ -131,7 +136,7 @@ scores AS (
          - log2(greatest(count(*) FILTER (WHERE q.score <= 3), 1)) AS score
   FROM candidates c JOIN queue q ON c.userId = q.userId AND q.rank <= 21
   JOIN content_sim s ON s.product1 = c.candidate AND s.product2 = q.productId
-  WHERE round(s.score, 9) > 0.6
+  WHERE s.score > 0.6
   GROUP BY c.userId, c.candidate),
 online_lists AS (
   SELECT userId, productId, score, CAST(row_number() OVER (
@@ -145,7 +150,7 @@ lists AS (
   SELECT * FROM (
     SELECT *, CAST(row_number() OVER (
       PARTITION BY userId, late ORDER BY round(score, 9) DESC, productId) AS INT) AS rank
-    FROM means) WHERE rank <= 10)"""
+    FROM means))"""
 
 _SERVED = "productId, name, categories, tags, score"
 
@@ -239,13 +244,13 @@ JOIN info i ON i.productId = product2""",
   SELECT CAST(vec_id AS INT) AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)
 SELECT a.id AS product1, b.id AS product2, round(list_cosine_similarity(a.v, b.v), 6) AS score
 FROM vectors a JOIN vectors b ON a.id <> b.id
-WHERE round(list_cosine_similarity(a.v, b.v), 9) > 0.4""",
+WHERE list_cosine_similarity(a.v, b.v) > 0.4""",
         "rating_upsert": _with(RATINGS, EVENTS, BASE, _upsert("rating_events")),
         "recent_queue_batch": _with(EVENTS, QUEUE) + queue_rows,
         "recent_queue_items": _with(EVENTS, QUEUE) + queue_rows + " WHERE rank <= 21",
         "score_halving": _with(EVENTS, RATE_REQUESTS) + "SELECT event_id, score FROM rate_requests",
         "rate_products": _with(RATINGS, EVENTS, RATE_REQUESTS, BASE, _upsert("rate_requests")),
-        "rate_products_queue": _with(EVENTS, RATE_REQUESTS, QUEUE.replace("rating_events", "rate_requests"))
+        "rate_products_queue": _with(EVENTS, RATE_REQUESTS, QUEUE.replace("rating_events", "queued"))
         + queue_rows,
         "rate_products_log": _with(EVENTS, RATE_REQUESTS)
         + """SELECT 'PRODUCT_RATING_PREFIX:' || concat_ws('|', userId, productId, score, "timestamp")
@@ -300,7 +305,7 @@ SELECT * FROM (
   FROM last_event e JOIN itemcf_top t ON e.productId = t.productId
   UNION ALL
   SELECT userId, product2, s.score, 2, 0.2
-  FROM last_event e JOIN content_ranked s ON e.productId = product1 WHERE s.rank <= 10
+  FROM last_event e JOIN content_ranked s ON e.productId = product1 
   UNION ALL SELECT userId, productId, score, 3, 0.3 FROM scores),
 shares AS (
   SELECT userId, productId, CAST(weight AS DOUBLE) * coalesce(score / nullif(

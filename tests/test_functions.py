@@ -26,7 +26,7 @@ def test_time_functions_do_not_follow_the_session_zone(spark, session_zone):
 
 
 def test_milliseconds_become_seconds(spark):
-    assert one(spark, scalars.normalise_epoch(F.lit(1564754545123))) == 1564754545
+    assert one(spark, scalars.normalise_epoch(F.lit(1564754545123), "ms")) == 1564754545
     assert one(spark, scalars.normalise_epoch(F.lit(1564754545))) == 1564754545
 
 
@@ -74,3 +74,18 @@ def test_cosine_of_a_zero_vector_is_null(spark):
 def test_similarity_of_very_large_counts(spark):
     big = F.lit(300_000_000_000).cast("bigint")
     assert one(spark, scalars.cooccurrence_similarity(big, big, big)) == pytest.approx(1.0)
+
+
+def test_name_hash_counts_every_code_unit(spark):
+    names = ["", "a", "a\0b", "\0", "tail\0", "é🎉"]
+
+    def java_hash(text):
+        units = text.encode("utf-16-be")
+        value = 0
+        for i in range(0, len(units), 2):
+            value = (value * 31 + int.from_bytes(units[i : i + 2], "big")) % (1 << 32)
+        return value - (1 << 32) if value >= 1 << 31 else value
+
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    found = df.select("name", scalars.user_id_from_name("name").alias("id")).collect()
+    assert {r["name"]: r["id"] for r in found} == {n: java_hash(n) for n in names}

@@ -71,7 +71,7 @@ def test_jobs_from_files_to_tables(spark, tmp_path, rows):
     counts = tables.read_table(spark, root, settings.RATE_MORE)
     assert rows(counts) == rows(statistics.rate_more_products(ratings))
     jobs.itemcf_job(spark, root)
-    recs = tables.read_table(spark, root, settings.ITEMCF_RECS, schemas.PRODUCT_RECS)
+    recs = tables.read_table(spark, root, settings.ITEMCF_RECS)
     assert {r["productId"] for r in recs.collect()} == {101, 102, 103}
     jobs.content_job(spark, root, hashed=False)
     assert set(tables.read_table(spark, root, settings.CONTENT_RECS).columns) == {

@@ -147,3 +147,25 @@ def test_a_repeated_batch_changes_nothing(spark, tmp_path, rows):
 def test_kafka_source_needs_its_connector(spark):
     with pytest.raises(Exception):
         streams.kafka_events(spark, "broker:9092", "ratings")
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_table_stream_reads_files_and_folders(spark, tmp_path, rows, parts):
+    """One parquet file, and a folder of part files, of the same name beside other tables."""
+    df = spark.createDataFrame([(i, f"x{i}") for i in range(20)], "id int, name string")
+    if parts == 1:
+        df.toPandas().to_parquet(tmp_path / "events.parquet")
+        df.toPandas().to_parquet(tmp_path / "events.parquex")
+    else:
+        df.repartition(parts).write.parquet(str(tmp_path / "events.parquet"))
+        df.write.parquet(str(tmp_path / "events.parquex"))
+    stream = streams.table_stream(spark, str(tmp_path / "events.parquet"))
+    sink = {"path": str(tmp_path / "out"), "checkpointLocation": str(tmp_path / "cp")}
+    query = stream.writeStream.format("parquet").options(**sink).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert rows(spark.read.parquet(sink["path"]), "id", "name") == rows(df)
+
+
+def test_table_stream_of_a_missing_table_fails(spark, tmp_path):
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        streams.table_stream(spark, str(tmp_path / "nothing.parquet"))
