@@ -85,6 +85,15 @@ class Profiles:
         )
 
 
+    def of(self, requests: DataFrame | None) -> DataFrame | None:
+        """The profiles of the requested products, staged: they prune the pairs of all others."""
+        if requests is None:
+            return None
+        asked = requests.select("productId").distinct()
+        found = self.members.join(asked, "productId", "left_semi").select("profileId").distinct()
+        return shared.stage(found, "asked")
+
+
 def tfidf_weights(words: DataFrame) -> DataFrame:
     """``(productId, term, weight)`` of every product; zero weights are left out."""
     profiles = Profiles(words)
@@ -97,14 +106,28 @@ def profile_similarity(
     weights: DataFrame,
     min_sim: float = settings.MIN_SIMILARITY,
     block: int | None = None,
+    wanted: DataFrame | None = None,
 ) -> DataFrame:
-    """``(profile1, profile2, score)``, ``profile1 < profile2``, score above ``min_sim``."""
-    vectors = shared.stage(_prefixed_vectors(weights, min_sim), "vectors")
+    """``(profile1, profile2, score)``, ``profile1 < profile2``, score above ``min_sim``.
+
+    With ``wanted`` (profileId) only pairs with one of those profiles: terms that none of
+    them has in its prefix make no group.
+    """
+    vectors = _prefixed_vectors(weights, min_sim)
+    if wanted is not None:
+        asked = wanted.select("profileId", F.lit(True).alias("asked"))
+        vectors = vectors.join(asked, "profileId", "left")
+    else:
+        vectors = vectors.withColumn("asked", F.lit(True))
+    vectors = shared.stage(vectors, "vectors")
     if block is None:
         # Longer vectors go in smaller blocks: a block's size in terms is bounded.
         longest = vectors.agg(F.max(F.size("terms"))).first()[0] or 1
         block = max(1, min(settings.TILE_PROFILES, settings.TILE_TERMS // longest))
     holders = vectors.select("profileId", F.explode("prefix").alias("term"))
+    if wanted is not None:
+        terms = vectors.where("asked").select(F.explode("prefix").alias("term")).distinct()
+        holders = holders.join(terms, "term", "left_semi")
     groups = (
         holders.groupBy("term")
         .agg(F.count(F.lit(1)).alias("size"))
@@ -185,6 +208,8 @@ def _similar_in_tile(key: tuple, rows: pd.DataFrame, min_sim: float) -> pd.DataF
     second = first if low == high else np.flatnonzero(side == 1)
     dots = _products(owner, terms, units, len(rows), first, second)
     similar = dots > min_sim
+    asked = rows.asked.to_numpy() == True  # noqa: E712  null where a profile isn't asked for
+    similar &= asked[first][:, None] | asked[second][None, :]
     if earlier.any():
         # Such a pair is reported by the group of the earlier shared prefix term.
         ones = np.ones(int(earlier.sum()))
@@ -244,7 +269,8 @@ def similar_products(
     With ``requests`` (productId) only the lists of those products are written out.
     """
     profiles = Profiles(words)
-    return expand(profiles, profile_similarity(profiles.weights, min_sim), requests)
+    pairs = profile_similarity(profiles.weights, min_sim, wanted=profiles.of(requests))
+    return expand(profiles, pairs, requests)
 
 
 def expand(
@@ -266,15 +292,23 @@ def expand(
 
 
 def top_similar(
-    words: DataFrame, k: int, min_sim: float = settings.MIN_SIMILARITY
+    words: DataFrame | Profiles,
+    k: int,
+    min_sim: float = settings.MIN_SIMILARITY,
+    requests: DataFrame | None = None,
 ) -> DataFrame:
-    """``(productId, rank, recId, score)``: the best ``k`` of every list.
+    """``(productId, rank, recId, score)``: the best ``k`` of every list, or of those asked for.
 
     A profile's best ``k + 1`` products are found once and handed to all its members,
     each of which drops itself.
     """
-    profiles = Profiles(words)
-    pairs = _with_self(profile_similarity(profiles.weights, min_sim), profiles)
+    profiles = words if isinstance(words, Profiles) else Profiles(words)
+    wanted = profiles.of(requests)
+    pairs = _with_self(profile_similarity(profiles.weights, min_sim, wanted=wanted), profiles)
+    members = profiles.members
+    if wanted is not None:
+        pairs = pairs.join(wanted.withColumnRenamed("profileId", "profile1"), "profile1", "left_semi")
+        members = members.join(requests.select("productId"), "productId", "left_semi")
     # Each of the best k + 1 profiles, in (score, smallest id) order, brings at least one
     # product, and the members of a profile tie: k + 1 profiles with their k + 1 smallest
     # ids hold the best k + 1 products.
@@ -289,10 +323,40 @@ def top_similar(
     )
     return ranking.top_per_key(
         lists.withColumnRenamed("profile1", "profileId")
-        .join(profiles.members, "profileId")
+        .join(members, "profileId")
         .where(F.col("recId") != F.col("productId"))
         .select("productId", "recId", "score"),
         "productId",
         order,
         k,
     ).select("productId", "rank", "recId", "score")
+
+
+def pair_scores(profiles: Profiles, pairs: DataFrame) -> DataFrame:
+    """``(product1, product2, score)``: the cosine of given pairs, those of cosine 0 left out."""
+    members, weights = profiles.members, profiles.weights
+    placed = pairs.select("product1", "product2").distinct()
+    for side in ("1", "2"):
+        own = members.select(
+            F.col("productId").alias(f"product{side}"), F.col("profileId").alias(f"profile{side}")
+        )
+        placed = placed.join(own, f"product{side}")
+    placed = shared.stage(placed, "pairs")
+    norms = weights.groupBy("profileId").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
+    units = weights.join(norms, "profileId").select(
+        "profileId", "term", (F.col("weight") / F.col("norm")).alias("unit")
+    )
+    left, right = (
+        units.select(F.col("profileId").alias(f"profile{s}"), "term", F.col("unit").alias(f"unit{s}"))
+        for s in ("1", "2")
+    )
+    cosines = (
+        placed.select("profile1", "profile2")
+        .distinct()
+        .join(left, "profile1")
+        .join(right, ["profile2", "term"])
+        .groupBy("profile1", "profile2")
+        .agg(F.sum(F.col("unit1") * F.col("unit2")).alias("score"))
+        .withColumn("score", F.when(F.col("profile1") == F.col("profile2"), 1.0).otherwise(F.col("score")))
+    )
+    return placed.join(cosines, ["profile1", "profile2"]).select("product1", "product2", "score")

@@ -1,16 +1,81 @@
 """Scoring of live recommendations, as a batch operator over rating events.
 
-``sim`` is the long similarity table ``(product1, product2, score)`` in both directions
-with whole lists: a list cut to its best k would lose the score of (candidate, recent).
-A stored table may carry ``place``, the rank in the list; otherwise it is worked out for
-the lists asked for.
+No table of all product pairs is needed.  A similarity answers two questions: the best
+neighbours of the trigger products, each list only as deep as some user needs it, and the
+scores of given (candidate, recent) pairs.  It may rest on latent factors, on tag profiles, or
+on a stored table ``(product1, product2, score)`` in both directions with whole lists.
 """
 
+from typing import Protocol
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry import settings
-from basketry.operators import ranking
+from basketry import settings, shared
+from basketry.operators import content, dense, ranking
+
+
+class Similarity(Protocol):
+    def neighbours(self, products: DataFrame, k: int) -> DataFrame:
+        """``(product1, place, product2, score)``: the best ``k`` of each ``productId``."""
+
+    def scores(self, pairs: DataFrame) -> DataFrame:
+        """``(product1, product2, score)`` of those pairs that have one."""
+
+
+class StoredLists:
+    """Similarity lists of a stored table."""
+
+    def __init__(self, sim: DataFrame):
+        self.sim = sim.select("product1", "product2", "score")
+
+    def neighbours(self, products: DataFrame, k: int) -> DataFrame:
+        wanted = products.select(F.col("productId").alias("product1"))
+        order = [F.desc(F.round("score", 9)), F.asc("product2")]
+        lists = self.sim.join(wanted, "product1", "left_semi")
+        return ranking.top_per_key(lists, "product1", order, k, "place")
+
+    def scores(self, pairs: DataFrame) -> DataFrame:
+        return self.sim.join(pairs.select("product1", "product2").distinct(), ["product1", "product2"])
+
+
+class FactorVectors:
+    """Cosine of item vectors ``(id, features)``, above ``min_sim``."""
+
+    def __init__(self, vectors: DataFrame, min_sim: float = settings.MIN_SIMILARITY):
+        self.vectors, self.min_sim = vectors, min_sim
+
+    def neighbours(self, products: DataFrame, k: int) -> DataFrame:
+        wanted = products.select(F.col("productId").alias("id"))
+        asked = self.vectors.join(wanted, "id", "left_semi")
+        found = dense.best_matches(asked, self.vectors, k, self.min_sim)
+        return found.withColumnRenamed("rank", "place")
+
+    def scores(self, pairs: DataFrame) -> DataFrame:
+        return dense.pair_scores(pairs, self.vectors).where(F.col("score") > self.min_sim)
+
+
+class TagProfiles:
+    """Cosine of tag profiles (``content``), above ``min_sim``."""
+
+    def __init__(self, words: DataFrame, min_sim: float = settings.MIN_SIMILARITY):
+        self.profiles, self.min_sim = content.Profiles(words), min_sim
+
+    def neighbours(self, products: DataFrame, k: int) -> DataFrame:
+        found = content.top_similar(self.profiles, k, self.min_sim, requests=products)
+        return found.select(
+            F.col("productId").alias("product1"),
+            F.col("rank").alias("place"),
+            F.col("recId").alias("product2"),
+            "score",
+        )
+
+    def scores(self, pairs: DataFrame) -> DataFrame:
+        return content.pair_scores(self.profiles, pairs).where(F.col("score") > self.min_sim)
+
+
+def _similarity(sim: DataFrame | Similarity) -> Similarity:
+    return StoredLists(sim) if isinstance(sim, DataFrame) else sim
 
 
 def latest_event(events: DataFrame, order=("timestamp", "productId")) -> DataFrame:
@@ -21,26 +86,38 @@ def latest_event(events: DataFrame, order=("timestamp", "productId")) -> DataFra
 
 
 def candidates(
-    triggers: DataFrame, rated: DataFrame, sim: DataFrame, k: int = settings.N_CANDIDATES
+    triggers: DataFrame,
+    rated: DataFrame,
+    sim: DataFrame | Similarity,
+    k: int = settings.N_CANDIDATES,
 ) -> DataFrame:
     """``(userId, rank, candidate, score)``: unrated products most similar to the trigger.
 
     ``triggers`` is one (userId, productId) per user, ``rated`` all (userId, productId).
     """
     users = triggers.select("userId", F.col("productId").alias("product1"))
-    seen = (
+    seen = shared.stage(
         rated.select("userId", "productId")
         .join(users.select("userId"), "userId", "left_semi")
-        .distinct()
+        .distinct(),
+        "seen",
     )
     # A user who rated r products finds k unrated ones among the first k + r of a list.
     depth = seen.groupBy("userId").agg(F.count(F.lit(1)).alias("n_seen"))
-    bounded = users.join(depth, "userId", "left").withColumn(
-        "depth", F.coalesce("n_seen", F.lit(0)) + k
+    bounded = shared.stage(
+        users.join(depth, "userId", "left").withColumn("depth", F.coalesce("n_seen", F.lit(0)) + k),
+        "triggers",
+    )
+    deepest = bounded.agg(F.max("depth")).first()[0] or k
+    # Lists are cut to what some user of the trigger needs before they meet the users.
+    wanted = bounded.groupBy("product1").agg(F.max("depth").alias("most"))
+    lists = (
+        _similarity(sim)
+        .neighbours(wanted.select(F.col("product1").alias("productId")), deepest)
+        .join(wanted, "product1")
+        .where(F.col("place") <= F.col("most"))
+        .drop("most")
     )
-    lists = sim.join(users.select("product1").distinct(), "product1", "left_semi")
-    if "place" not in sim.columns:
-        lists = ranking.list_rank(lists, "product1", "product2", rank="place")
     near = (
         bounded.join(lists, "product1")
         .where(F.col("place") <= F.col("depth"))
@@ -57,7 +134,7 @@ def candidates(
 def score_candidates(
     candidates: DataFrame,
     recents: DataFrame,
-    sim: DataFrame,
+    sim: DataFrame | Similarity,
     min_sim: float = settings.ONLINE_MIN_SIMILARITY,
     positive_above: float = settings.POSITIVE_ABOVE,
 ) -> DataFrame:
@@ -65,13 +142,16 @@ def score_candidates(
 
     ``recents`` is (userId, productId, score), one row per queue entry.
     """
-    pairs = candidates.select("userId", F.col("candidate").alias("product1")).join(
-        recents.select(
-            "userId", F.col("productId").alias("product2"), F.col("score").alias("rating")
+    pairs = shared.stage(
+        candidates.select("userId", F.col("candidate").alias("product1")).join(
+            recents.select(
+                "userId", F.col("productId").alias("product2"), F.col("score").alias("rating")
+            ),
+            "userId",
         ),
-        "userId",
+        "candidate-recent",
     )
-    close = sim.where(F.col("score") > min_sim)
+    close = _similarity(sim).scores(pairs).where(F.col("score") > min_sim)
     liked = F.col("rating") > positive_above
     return (
         pairs.join(close, ["product1", "product2"])
@@ -94,7 +174,11 @@ def score_candidates(
 
 
 def recommend(
-    triggers: DataFrame, recents: DataFrame, rated: DataFrame, sim: DataFrame, **options
+    triggers: DataFrame,
+    recents: DataFrame,
+    rated: DataFrame,
+    sim: DataFrame | Similarity,
+    **options,
 ) -> DataFrame:
     """One row per triggering user; a user without scored candidates has an empty list."""
     found = candidates(triggers, rated, sim, options.get("k", settings.N_CANDIDATES))

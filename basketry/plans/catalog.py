@@ -3,6 +3,8 @@
 Results are in long form, ids are ints and scores are rounded to six decimals.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -401,12 +403,16 @@ def stream_recent_queue(spark, sf_dir):
 # Online recommendation ------------------------------------------------------------------
 
 
-def _similarity(spark, sf_dir) -> DataFrame:
-    """The stored form of the lists: whole, with the rank of every entry."""
-    pairs = content.similar_products(_words(spark, sf_dir))
-    return shared.stage(
-        ranking.list_rank(pairs, "product1", "product2", rank="place"), "similarity"
-    )
+def _similarity(spark, sf_dir) -> online.Similarity:
+    return online.TagProfiles(_words(spark, sf_dir))
+
+
+def _factor_similarity(spark, sf_dir) -> online.Similarity:
+    """Vectors of ``embeddings`` as item factors, so that no training is between data and result.
+
+    There are fewer vectors than products: the products with a vector take part.
+    """
+    return online.FactorVectors(warehouse.dense_vectors(spark, sf_dir))
 
 
 def _rated(spark, sf_dir) -> DataFrame:
@@ -446,6 +452,29 @@ def online_scores(spark, sf_dir):
     return _rounded(_online_scores(spark, sf_dir))
 
 
+def _near_triggers(spark, sf_dir) -> Callable[[DataFrame], DataFrame]:
+    """Trigger events moved onto products with a vector: few events name one."""
+    n = warehouse.dense_vectors(spark, sf_dir).agg(F.max("id")).first()[0] + 1
+    return lambda df: df.withColumn("productId", (F.col("productId") % n).cast(df.schema["productId"].dataType))
+
+
+def online_factor_candidates(spark, sf_dir):
+    """The live path on latent factors."""
+    place = _near_triggers(spark, sf_dir)
+    found = online.candidates(
+        place(_triggers(spark, sf_dir)), _rated(spark, sf_dir), _factor_similarity(spark, sf_dir)
+    )
+    return _rounded(found)
+
+
+def online_factor_scores(spark, sf_dir):
+    place = _near_triggers(spark, sf_dir)
+    sim = _factor_similarity(spark, sf_dir)
+    found = online.candidates(place(_triggers(spark, sf_dir)), _rated(spark, sf_dir), sim)
+    recents = place(_queue(spark, sf_dir, settings.N_RECENT))
+    return _rounded(online.score_candidates(found, recents, sim, min_sim=settings.MIN_SIMILARITY))
+
+
 def _run_online(spark, sf_dir) -> OnlineRecommender:
     folder = shared.run_dir(spark, "online")
     sim = _similarity(spark, sf_dir)
@@ -633,6 +662,8 @@ QUERIES = {
         latest_events,
         online_candidates,
         online_scores,
+        online_factor_candidates,
+        online_factor_scores,
         stream_recs,
         stream_recs_lookup,
         replace_stream_recs,

@@ -143,6 +143,20 @@ online_lists AS (
     PARTITION BY userId ORDER BY round(score, 9) DESC, productId) AS INT) AS rank
   FROM scores)"""
 
+# The live path on vectors of embeddings, both steps above the first threshold.
+FACTORS = (
+    """vectors AS (
+  SELECT CAST(vec_id AS INT) AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+content_sim AS (
+  SELECT a.id AS product1, b.id AS product2, list_cosine_similarity(a.v, b.v) AS score
+  FROM vectors a JOIN vectors b ON a.id <> b.id
+  WHERE list_cosine_similarity(a.v, b.v) > 0.4),
+"""
+    + ONLINE.replace("s.score > 0.6", "s.score > 0.4")
+    .replace("s.product1 = t.productId", "s.product1 = t.productId % (SELECT max(id) + 1 FROM vectors)")
+    .replace("s.product2 = q.productId", "s.product2 = q.productId % (SELECT max(id) + 1 FROM vectors)")
+)
+
 TWO_BATCHES = """means AS (
   SELECT userId, productId, ts >= TIMESTAMP '2024-01-30' AS late, avg(score) AS score
   FROM rating_events GROUP BY ALL),
@@ -279,6 +293,10 @@ FROM rating_events GROUP BY productId""",
   FROM rating_events) WHERE place = 1""",
         "online_candidates": online
         + "SELECT userId, rank, candidate, round(score, 6) AS score FROM candidates",
+        "online_factor_candidates": _with(RATINGS, EVENTS, QUEUE, FACTORS)
+        + "SELECT userId, rank, candidate, round(score, 6) AS score FROM candidates",
+        "online_factor_scores": _with(RATINGS, EVENTS, QUEUE, FACTORS)
+        + "SELECT userId, productId, round(score, 6) AS score FROM scores",
         "online_scores": online + "SELECT userId, productId, round(score, 6) AS score FROM scores",
         "stream_recs": online
         + "SELECT userId, rank, productId, round(score, 6) AS score FROM online_lists",
