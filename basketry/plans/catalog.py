@@ -4,6 +4,7 @@ Results are in long form, ids are ints and scores are rounded to six decimals.
 """
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -601,16 +602,83 @@ def als_recs_lookup(spark, sf_dir):
     wanted = customers.where(F.col("c_mktsegment") == "BUILDING").select(
         F.col("c_name").alias("username")
     )
+    asked = users.join(wanted, "username", "left_semi")
     return serving.user_recs(
         wanted,
         users,
-        als.user_recs(_model(spark, sf_dir)),
+        als.user_recs(_model(spark, sf_dir), requests=asked),
         warehouse.products(spark, sf_dir),
         _averages(spark, sf_dir),
         10,
     )
 
 
+def _factors(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Vectors of even number as user factors, of odd number as item factors."""
+    vectors = warehouse.dense_vectors(spark, sf_dir)
+
+    def half(odd: int) -> DataFrame:
+        number = F.floor(F.col("id") / 2).cast(vectors.schema["id"].dataType)
+        return vectors.where(F.col("id") % 2 == odd).select(number.alias("id"), "features")
+
+    return half(0), half(1)
+
+
+def _factor_ratings(spark, sf_dir) -> DataFrame:
+    """Ratings of users and products moved onto those with factors."""
+    n = warehouse.dense_vectors(spark, sf_dir).agg(F.max("id")).first()[0] // 2 + 1
+    rated = _base_ratings(spark, sf_dir)
+    moved = {c: (F.col(c) % n).cast(rated.schema[c].dataType) for c in ("userId", "productId")}
+    return rated.withColumns(moved)
+
+
+def factor_predictions(spark, sf_dir):
+    """Observed joined to predicted on (user, product)."""
+    rated = _factor_ratings(spark, sf_dir).select("userId", "productId", "score")
+    return _rounded(als.factor_predictions(rated, *_factors(spark, sf_dir)), "prediction")
+
+
+def factor_rmse(spark, sf_dir):
+    rated = _factor_ratings(spark, sf_dir)
+    return _rounded(als.rmse(als.factor_predictions(rated, *_factors(spark, sf_dir))), "rmse")
+
+
+def factor_user_recs(spark, sf_dir):
+    return _rounded(als.factor_user_recs(*_factors(spark, sf_dir)))
+
+
+def factor_recs_lookup(spark, sf_dir):
+    """Recommendations of the customers of one segment: only their factors are multiplied."""
+    users, items = _factors(spark, sf_dir)
+    asked = warehouse.table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'")
+    asked = asked.select(F.col("c_custkey").cast(users.schema["id"].dataType).alias("id"))
+    found = als.factor_user_recs(users.join(asked, "id", "left_semi"), items, 10)
+    rows = found.withColumnRenamed("score", "rec_score").join(
+        warehouse.products(spark, sf_dir).select("productId", "name"), "productId"
+    )
+    return _rounded(rows, "rec_score")
+
+
+def factor_grid(spark, sf_dir):
+    """Factors cut to several ranks, the error of each, and the best."""
+    users, items = _factors(spark, sf_dir)
+    rated = _factor_ratings(spark, sf_dir)
+
+    def cut(factors: DataFrame, rank: int) -> DataFrame:
+        return factors.withColumn("features", F.slice("features", 1, rank))
+
+    errors = [
+        als.rmse(als.factor_predictions(rated, cut(users, rank), cut(items, rank))).select(
+            F.lit(rank).alias("rank"), F.lit(0.0).alias("lambda"), "rmse"
+        )
+        for rank in settings.GRID_RANKS
+    ]
+    grid = shared.stage(reduce(DataFrame.unionByName, errors), "grid")
+    best = als.best_parameters(grid).select("rank", F.lit(True).alias("best"))
+    found = grid.join(best, "rank", "left").withColumn("best", F.coalesce("best", F.lit(False)))
+    return _rounded(found, "rmse")
+
+
 def rmse_of_product_means(spark, sf_dir):
     """Observed joined to predicted, the product's mean being the prediction."""
     rated = warehouse.ratings(spark, sf_dir)
@@ -669,6 +737,11 @@ QUERIES = {
         replace_stream_recs,
         merge_stream_recs,
         hybrid_blend,
+        factor_predictions,
+        factor_rmse,
+        factor_user_recs,
+        factor_recs_lookup,
+        factor_grid,
         als_user_recs,
         als_product_similar,
         als_grid,

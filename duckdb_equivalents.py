@@ -157,6 +157,24 @@ content_sim AS (
     .replace("s.product2 = q.productId", "s.product2 = q.productId % (SELECT max(id) + 1 FROM vectors)")
 )
 
+USER_ITEM = """halves AS (
+  SELECT vec_id % 2 AS odd, CAST(vec_id // 2 AS INT) AS id, CAST(embedding AS DOUBLE[]) AS v
+  FROM embeddings),
+users AS (SELECT id, v FROM halves WHERE odd = 0),
+items AS (SELECT id, v FROM halves WHERE odd = 1),
+moved AS (
+  SELECT CAST(userId % (SELECT max(vec_id) // 2 + 1 FROM embeddings) AS INT) AS userId,
+         CAST(productId % (SELECT max(vec_id) // 2 + 1 FROM embeddings) AS INT) AS productId, score
+  FROM base),
+predicted AS (
+  SELECT userId, productId, score, u.v AS u, i.v AS i, list_inner_product(u.v, i.v) AS prediction
+  FROM moved JOIN users u ON u.id = userId JOIN items i ON i.id = productId),
+factor_lists AS (
+  SELECT u.id AS userId, i.id AS productId, list_inner_product(u.v, i.v) AS score,
+         CAST(row_number() OVER (
+           PARTITION BY u.id ORDER BY round(list_inner_product(u.v, i.v), 9) DESC, i.id) AS INT) AS rank
+  FROM users u CROSS JOIN items i WHERE list_inner_product(u.v, i.v) > 0)"""
+
 TWO_BATCHES = """means AS (
   SELECT userId, productId, ts >= TIMESTAMP '2024-01-30' AS late, avg(score) AS score
   FROM rating_events GROUP BY ALL),
@@ -293,6 +311,25 @@ FROM rating_events GROUP BY productId""",
   FROM rating_events) WHERE place = 1""",
         "online_candidates": online
         + "SELECT userId, rank, candidate, round(score, 6) AS score FROM candidates",
+        "factor_predictions": _with(RATINGS, BASE, USER_ITEM)
+        + "SELECT userId, productId, score, round(prediction, 6) AS prediction FROM predicted",
+        "factor_rmse": _with(RATINGS, BASE, USER_ITEM)
+        + "SELECT round(sqrt(avg((score - prediction) ** 2)), 6) AS rmse FROM predicted",
+        "factor_user_recs": _with(RATINGS, BASE, USER_ITEM)
+        + """SELECT userId, rank, productId, round(score, 6) AS score FROM factor_lists
+WHERE rank <= 20""",
+        "factor_recs_lookup": _with(RATINGS, PRODUCTS, BASE, USER_ITEM)
+        + """SELECT userId, rank, l.productId, round(score, 6) AS rec_score, name
+FROM factor_lists l JOIN customer ON c_custkey = userId JOIN products p ON p.productId = l.productId
+WHERE rank <= 10 AND c_mktsegment = 'BUILDING'""",
+        "factor_grid": _with(RATINGS, BASE, USER_ITEM)
+        + """, grid AS (
+  SELECT CAST(r AS INT) AS rank, CAST(0 AS DOUBLE) AS "lambda",
+         sqrt(avg((score - list_inner_product(u[1:r], i[1:r])) ** 2)) AS rmse
+  FROM predicted CROSS JOIN (SELECT unnest([5, 10, 20, 50]) AS r) GROUP BY r)
+SELECT rank, "lambda", round(rmse, 6) AS rmse,
+       rank = (SELECT arg_min(rank, struct_pack(e := rmse, r := rank)) FROM grid) AS best
+FROM grid""",
         "online_factor_candidates": _with(RATINGS, EVENTS, QUEUE, FACTORS)
         + "SELECT userId, rank, candidate, round(score, 6) AS score FROM candidates",
         "online_factor_scores": _with(RATINGS, EVENTS, QUEUE, FACTORS)
