@@ -335,7 +335,7 @@ def top_similar(
 def pair_scores(profiles: Profiles, pairs: DataFrame) -> DataFrame:
     """``(product1, product2, score)``: the cosine of given pairs, those of cosine 0 left out."""
     members, weights = profiles.members, profiles.weights
-    placed = pairs.select("product1", "product2").distinct()
+    placed = pairs.select("product1", "product2").where("product1 <> product2").distinct()
     for side in ("1", "2"):
         own = members.select(
             F.col("productId").alias(f"product{side}"), F.col("profileId").alias(f"profile{side}")

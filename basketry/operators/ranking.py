@@ -90,5 +90,15 @@ def unpack_recs(packed: DataFrame, key: str) -> DataFrame:
     )
 
 
+def unpack_pages(pages: DataFrame, key: str, page_size: int = settings.PAGE_SIZE) -> DataFrame:
+    """Pages of ``pack_pages`` back to rows, ``rank`` being the place in the whole list."""
+    return pages.select(key, "page", F.posexplode("recs").alias("pos", "rec")).select(
+        key,
+        (F.col("page") * page_size + F.col("pos") + 1).cast("int").alias("rank"),
+        F.col("rec.productId").alias("productId"),
+        F.col("rec.score").alias("score"),
+    )
+
+
 def empty_recs():
     return F.array().cast("array<struct<productId:int,score:double>>")

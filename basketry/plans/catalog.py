@@ -23,10 +23,11 @@ from basketry.operators import (
     serving,
     statistics,
 )
+from basketry.plans import jobs
 from basketry.sinks import tables as sink
 from basketry.sources import files, streams, tables, warehouse
 from basketry.streaming import log_filter, recent_queue
-from basketry.streaming.online import OnlineRecommender
+from basketry.streaming.online import OnlineRecommender, current_rows
 
 _EVENT_ORDER = ("ts", "event_id")
 _SEARCH = "red|ring$"
@@ -221,18 +222,35 @@ def _page_texts(pages: DataFrame) -> DataFrame:
     )
 
 
+_LOOKUP = ("requested", "rank", "productId", "rec_score", "name", "score")
+
+
 def content_lookup(spark, sf_dir):
-    """The whole lists of the requested products only, with names and averages."""
+    """The whole lists of the requested products, worked out for them only."""
     lists = content.similar_products(_words(spark, sf_dir), requests=_requests(spark, sf_dir))
-    rows = lists.select(
+    rows = ranking.list_rank(lists, "product1", "product2").select(
         F.col("product1").alias("requested"),
+        "rank",
         F.col("product2").alias("productId"),
         F.col("score").alias("rec_score"),
-    ).join(warehouse.products(spark, sf_dir), "productId")
-    found = serving.with_average(rows, _averages(spark, sf_dir))
-    return _rounded(found, "score", "rec_score").select(
-        "requested", "productId", "rec_score", "name", "score"
     )
+    found = serving.with_average(
+        rows.join(warehouse.products(spark, sf_dir), "productId"), _averages(spark, sf_dir)
+    )
+    return _rounded(found, "score", "rec_score").select(*_LOOKUP)
+
+
+def content_stored_lookup(spark, sf_dir):
+    """The same lists from the table of pages that the content job stores."""
+    root = shared.run_dir(spark, "content")
+    products = warehouse.products(spark, sf_dir)
+    sink.overwrite(products, root, settings.PRODUCT)
+    jobs.content_job(spark, root, hashed=False)
+    pages = tables.read_table(spark, root, settings.CONTENT_RECS)
+    found = serving.paged_recs(
+        _requests(spark, sf_dir), pages, products, _averages(spark, sf_dir), settings.PAGE_SIZE
+    )
+    return _rounded(found, "score", "rec_score").select(*_LOOKUP)
 
 
 def dense_similar(spark, sf_dir):
@@ -515,6 +533,17 @@ def stream_recs_lookup(spark, sf_dir):
     )
 
 
+def stream_online_job(spark, sf_dir):
+    """From log lines to replaced lists: the whole live path as one job."""
+    root = shared.run_dir(spark, "online-job")
+    sink.overwrite(warehouse.ratings(spark, sf_dir), root, settings.RATING)
+    lines = warehouse.events_as_log_lines(_event_stream(spark, sf_dir)).select("value")
+    sim = _similarity(spark, sf_dir)
+    for query in jobs.online_job(spark, root, lines, lambda: sim, once=True):
+        query.awaitTermination()
+    return _rounded(current_rows(spark, root))
+
+
 def _two_batches(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Each user's rated products before the last day, and on it, best first."""
     events = warehouse.rating_events(spark, sf_dir)
@@ -711,6 +740,7 @@ QUERIES = {
         content_similar_hashed,
         content_pages,
         content_lookup,
+        content_stored_lookup,
         dense_similar,
         rating_upsert,
         recent_queue_batch,
@@ -734,6 +764,7 @@ QUERIES = {
         online_factor_scores,
         stream_recs,
         stream_recs_lookup,
+        stream_online_job,
         replace_stream_recs,
         merge_stream_recs,
         hybrid_blend,

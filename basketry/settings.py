@@ -46,6 +46,7 @@ STREAM_RECS = "StreamRecs"
 
 # Streaming.
 TRIGGER_INTERVAL = "5 seconds"
+FOLD_EVERY = 20  # batches after which what earlier ones wrote is put together
 
 # Execution sizes of our own; they change cost, never results.
 HEAVY_BASKET = 1000  # users with more distinct products go through tiles

@@ -7,6 +7,7 @@ the files instead of recomputing the job that wrote them.
 import sys
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -30,9 +31,31 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/basketry/{name}-{uuid.uuid4().hex}"
 
 
+_scratch: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Remove the tables staged inside at the end: for work that is repeated for ever."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch.pop():
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the package on whatever file system it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as parquet in the shared folder and read it back."""
     path = run_dir(df.sparkSession, name)
+    if _scratch:
+        _scratch[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -2,13 +2,12 @@
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry import settings, shared
 from basketry.operators import online, ranking
-from basketry.sinks.tables import write_batch
+from basketry.sinks.tables import batches, fold_batches, write_batch
 from basketry.streaming import run
 from basketry.streaming.recent_queue import EVENT_COLUMNS, queue_stream
 
@@ -20,10 +19,12 @@ _RECS_SCHEMA = "userId int, recs array<struct<productId:int,score:double>>, batc
 class OnlineRecommender:
     """Two queries over the same events (userId, productId, score, order1, order2).
 
-    ``start_updates`` appends the events to ``RatingUpdates``, map-only.  ``start`` keeps
+    ``start_updates`` writes the events of batch ``n`` to ``RatingUpdates/batch=n``, map-only;
+    ``jobs.merge_updates_job`` merges and removes them.  ``start`` keeps
     the queues as keyed state, joins and scores in ``foreachBatch`` and writes the lists of
     batch ``n`` to ``StreamRecs/batch=n``; a repeated batch replaces its folder, and no
-    batch rewrites what earlier ones wrote.
+    batch rewrites what earlier ones wrote; now and then old folders are folded into one.
+    Tables staged for a batch are removed at its end.
 
     A product counts as rated if it is in the rating table, in the updates or in the queue,
     so the lists stay right while the updates query is a batch behind.
@@ -36,19 +37,18 @@ class OnlineRecommender:
         self,
         spark: SparkSession,
         root: str,
-        load_similarity: Callable[[], DataFrame],
+        load_similarity: Callable[[], DataFrame | online.Similarity],
         load_rated: Callable[[], DataFrame],
+        fold_every: int = settings.FOLD_EVERY,
     ):
-        self.spark, self.root = spark, root
+        self.spark, self.root, self.fold_every = spark, root, fold_every
         self.load_similarity, self.load_rated = load_similarity, load_rated
 
     def start_updates(self, events: DataFrame, checkpoint: str, once: bool = False):
-        writer = (
-            events.select(*EVENT_COLUMNS)
-            .writeStream.format("parquet")
-            .option("path", f"{self.root}/{RATING_UPDATES}")
-            .outputMode("append")
-        )
+        def write(rows: DataFrame, batch_id: int) -> None:
+            write_batch(rows, self.root, RATING_UPDATES, batch_id)
+
+        writer = events.select(*EVENT_COLUMNS).writeStream.outputMode("append").foreachBatch(write)
         return run.start(writer, checkpoint, once)
 
     def start(self, events: DataFrame, checkpoint: str, once: bool = False):
@@ -56,31 +56,41 @@ class OnlineRecommender:
         return run.start(writer, checkpoint, once)
 
     def process(self, queue_rows: DataFrame, batch_id: int) -> None:
-        queues = shared.stage(queue_rows, "queues")
-        triggers = queues.where(F.col("rank") == 1).select("userId", "productId")
-        recents = queues.where(F.col("rank") <= settings.N_RECENT)
-        rated = self.load_rated().select("userId", "productId")
-        for more in (self.rating_updates(), queues):
-            rated = rated.unionByName(more.select("userId", "productId"))
-        recs = online.recommend(triggers, recents, rated, self.load_similarity())
-        write_batch(recs, self.root, settings.STREAM_RECS, batch_id)
+        with shared.scratch(self.spark):
+            queues = shared.stage(queue_rows, "queues")
+            triggers = queues.where(F.col("rank") == 1).select("userId", "productId")
+            recents = queues.where(F.col("rank") <= settings.N_RECENT)
+            rated = self.load_rated().select("userId", "productId")
+            for more in (self.rating_updates(), queues):
+                rated = rated.unionByName(more.select("userId", "productId"))
+            recs = online.recommend(triggers, recents, rated, self.load_similarity())
+            write_batch(recs, self.root, settings.STREAM_RECS, batch_id)
+        if batch_id % self.fold_every == 0:
+            fold_batches(self.spark, self.root, settings.STREAM_RECS, "userId", _RECS_SCHEMA)
 
     def rating_updates(self) -> DataFrame:
-        """Events so far, to be merged into the rating table by ``upsert``."""
-        try:
-            return self.spark.read.schema(_UPDATES_SCHEMA).parquet(f"{self.root}/{RATING_UPDATES}")
-        except AnalysisException as missing:
-            # The folder appears with the first batch of the updates query.
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], _UPDATES_SCHEMA)
+        """Events that aren't merged into the rating table yet."""
+        return read_updates(self.spark, self.root)
 
     def current_recs(self) -> DataFrame:
-        """The newest list of every user."""
-        lists = self.spark.read.schema(_RECS_SCHEMA).parquet(
-            f"{self.root}/{settings.STREAM_RECS}"
-        )
-        return lists.groupBy("userId").agg(F.max_by("recs", "batch").alias("recs"))
+        return current_recs(self.spark, self.root)
 
     def current_rows(self) -> DataFrame:
-        return ranking.unpack_recs(self.current_recs(), "userId")
+        return current_rows(self.spark, self.root)
+
+
+def current_recs(spark: SparkSession, root: str) -> DataFrame:
+    """The newest list of every user."""
+    lists = spark.read.schema(_RECS_SCHEMA).parquet(f"{root}/{settings.STREAM_RECS}")
+    return lists.groupBy("userId").agg(F.max_by("recs", "batch").alias("recs"))
+
+
+def current_rows(spark: SparkSession, root: str) -> DataFrame:
+    return ranking.unpack_recs(current_recs(spark, root), "userId")
+
+
+def read_updates(spark: SparkSession, root: str) -> DataFrame:
+    """``RatingUpdates`` under ``root``; no rows before the first batch wrote them."""
+    if not batches(spark, root, RATING_UPDATES):
+        return spark.createDataFrame([], _UPDATES_SCHEMA)
+    return spark.read.schema(_UPDATES_SCHEMA).parquet(f"{root}/{RATING_UPDATES}")

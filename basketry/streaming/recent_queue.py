@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from basketry import settings, shared
-from basketry.sinks.tables import write_batch
+from basketry.sinks.tables import fold_batches, write_batch
 from basketry.streaming import run
 
 shared.ship(__name__)
@@ -77,11 +77,19 @@ def queue_stream(events: DataFrame, size: int = settings.QUEUE_SIZE) -> DataFram
 QUEUE = "RecentQueue"
 
 
-def start_queue(events: DataFrame, root: str, checkpoint: str, once: bool = False):
+def start_queue(
+    events: DataFrame,
+    root: str,
+    checkpoint: str,
+    once: bool = False,
+    fold_every: int = settings.FOLD_EVERY,
+):
     """Keep ``RecentQueue`` under ``root``: each batch writes the queues it changed."""
 
     def write(rows: DataFrame, batch_id: int) -> None:
         write_batch(rows, root, QUEUE, batch_id)
+        if batch_id % fold_every == 0:
+            fold_batches(rows.sparkSession, root, QUEUE, "userId", OUTPUT + ", batch int")
 
     writer = queue_stream(events).writeStream.outputMode("update").foreachBatch(write)
     return run.start(writer, checkpoint, once)

@@ -198,6 +198,19 @@ WHERE event_type NOT IN ('error', 'signup')"""
 def oracle_sql() -> dict[str, str]:
     online = _with(RATINGS, PRODUCTS, EVENTS, CONTENT, QUEUE, ONLINE)
     served = _with(RATINGS, PRODUCTS, EVENTS, REQUESTS, AVERAGES, INFO)
+    content_lookup = (
+        _with(RATINGS, PRODUCTS, EVENTS, REQUESTS, AVERAGES, INFO, CONTENT)
+        + """SELECT product1 AS requested, CAST(rank AS INT) AS rank, product2 AS productId,
+       round(s.score, 6) AS rec_score, name, i.score
+FROM content_ranked s JOIN requests r ON product1 = r.productId
+JOIN info i ON i.productId = product2"""
+    )
+    # Log lines carry seconds only; of two events in one second the larger product is later.
+    in_lines = EVENTS.replace("FROM events", "FROM events WHERE event_type NOT IN ('error', 'signup')")
+    by_line = "ORDER BY \"timestamp\" DESC, productId DESC, score DESC"
+    job = _with(RATINGS, PRODUCTS, in_lines, CONTENT, QUEUE, ONLINE).replace(
+        "ORDER BY ts DESC, event_id DESC", by_line
+    )
     queue_rows = "SELECT userId, rank, productId, score FROM queue"
     return {
         "rate_more_products": _with(RATINGS)
@@ -267,11 +280,8 @@ AND product1 IN (SELECT profileId FROM profiles) AND product2 IN (SELECT profile
 FROM (SELECT product1, product2, row_number() OVER (
         PARTITION BY product1 ORDER BY round(score, 6) DESC, product2) AS rank FROM content_sim)
 GROUP BY product1, (rank - 1) // 50""",
-        "content_lookup": _with(RATINGS, PRODUCTS, EVENTS, REQUESTS, AVERAGES, INFO, CONTENT)
-        + """SELECT product1 AS requested, product2 AS productId, round(s.score, 6) AS rec_score,
-       name, i.score
-FROM content_sim s JOIN requests r ON product1 = r.productId
-JOIN info i ON i.productId = product2""",
+        "content_lookup": content_lookup,
+        "content_stored_lookup": content_lookup,
         "dense_similar": """WITH vectors AS (
   SELECT CAST(vec_id AS INT) AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)
 SELECT a.id AS product1, b.id AS product2, round(list_cosine_similarity(a.v, b.v), 6) AS score
@@ -337,6 +347,8 @@ FROM grid""",
         "online_scores": online + "SELECT userId, productId, round(score, 6) AS score FROM scores",
         "stream_recs": online
         + "SELECT userId, rank, productId, round(score, 6) AS score FROM online_lists",
+        "stream_online_job": job
+        + "SELECT userId, rank, productId, round(score, 6) AS score FROM online_lists",
         "stream_recs_lookup": _with(
             RATINGS, PRODUCTS, EVENTS, AVERAGES, INFO, CONTENT, QUEUE, ONLINE
         )

@@ -1,6 +1,9 @@
+import random
+
+import numpy as np
 import pytest
 
-from basketry.operators import blend, online
+from basketry.operators import blend, content, dense, online, ranking
 
 SIM = "product1 int, product2 int, score double"
 RATED = "userId int, productId int, score double"
@@ -76,3 +79,67 @@ def test_merge_takes_the_higher_score(spark, rows):
     a = spark.createDataFrame([(1, 5, 1.0), (1, 6, 3.0)], RATED)
     b = spark.createDataFrame([(1, 5, 2.0)], RATED)
     assert rows(blend.merge_stream_recs(a, b)) == [(1, 1, 6, 3.0), (1, 2, 5, 2.0)]
+
+
+def items(spark, n=60):
+    rng = random.Random(11)
+    words = [f"t{i}" for i in range(8)]
+    vectors = [(i, [rng.gauss(0, 1) + 1.5 for _ in range(5)]) for i in range(n)]
+    tags = [(i, [rng.choice(words) for _ in range(rng.randrange(1, 5))]) for i in range(n)]
+    return (
+        spark.createDataFrame(vectors, "id int, features array<double>"),
+        spark.createDataFrame(tags, "productId int, words array<string>"),
+    )
+
+
+@pytest.mark.parametrize("kind", ["factors", "tags"])
+def test_a_trigger_of_a_third_of_the_users_gives_what_whole_lists_give(spark, rows, kind):
+    vectors, tags = items(spark)
+    if kind == "factors":
+        sim, whole = online.FactorVectors(vectors), dense.dense_similarity(vectors)
+    else:
+        sim, whole = online.TagProfiles(tags), content.similar_products(tags)
+    rng = random.Random(12)
+    triggers = spark.createDataFrame(
+        [(u, 7 if u % 3 == 0 else rng.randrange(60)) for u in range(90)], "userId int, productId int"
+    )
+    rated = spark.createDataFrame(
+        [(u, rng.randrange(60)) for u in range(90) for _ in range(u % 5)], "userId int, productId int"
+    )
+    recents = spark.createDataFrame(
+        [(u, rng.randrange(60), float(rng.randrange(1, 6))) for u in range(90) for _ in range(4)], RATED
+    )
+    got, expected = (online.candidates(triggers, rated, s, 6) for s in (sim, whole))
+    columns = ("userId", "rank", "candidate")
+    assert rows(got, *columns) == rows(expected, *columns) != []
+
+    def scored(s):
+        found = online.score_candidates(expected, recents, s).collect()
+        return {(r["userId"], r["productId"]): round(r["score"], 9) for r in found}
+
+    assert scored(sim) == scored(whole) != {}
+
+
+def test_best_matches_equal_brute_force_in_small_blocks(spark):
+    rng = np.random.default_rng(3)
+    users, products = rng.normal(size=(30, 4)), rng.normal(size=(50, 4))
+    left, right = (
+        spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "id int, features array<double>")
+        for m in (users, products)
+    )
+    found = dense.best_matches(left, right, 7, 0.0, cosine=False, block=8).collect()
+    scores = np.round(users @ products.T, 9)
+    expected = {
+        (u, r + 1): p
+        for u in range(30)
+        for r, p in enumerate([p for p in np.lexsort((np.arange(50), -scores[u])) if scores[u, p] > 0][:7])
+    }
+    assert {(r["product1"], r["rank"]): r["product2"] for r in found} == expected
+
+
+def test_pages_give_back_ranks_of_whole_lists(spark, rows):
+    lists = spark.createDataFrame([(1, p, 1 - p / 100) for p in range(25)] + [(2, 5, 0.5)], SIM)
+    pages = ranking.pack_pages(lists, "product1", "product2", page_size=10)
+    found = ranking.unpack_pages(pages, "product1", 10)
+    expected = [(1, p + 1, p) for p in range(25)] + [(2, 1, 5)]
+    assert rows(found, "product1", "rank", "productId") == expected

@@ -1,8 +1,13 @@
 import random
+from pathlib import Path
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from basketry import shared
 from basketry.operators import online, ratings
+from basketry.sinks import tables
 from basketry.sources import streams
 from basketry.streaming import log_filter, recent_queue
 from basketry.streaming.online import OnlineRecommender
@@ -169,3 +174,37 @@ def test_table_stream_reads_files_and_folders(spark, tmp_path, rows, parts):
 def test_table_stream_of_a_missing_table_fails(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         streams.table_stream(spark, str(tmp_path / "nothing.parquet"))
+
+
+def test_folding_keeps_the_newest_rows_and_bounds_the_folders(spark, tmp_path):
+    rng = random.Random(7)
+    schema, root = "userId int, rank int, score double, batch int", str(tmp_path)
+    state = {}
+    for batch in range(50):
+        users = rng.sample(range(12), 3)
+        fresh = {u: [(u, r, float(batch)) for r in range(1, 1 + rng.randrange(1, 4))] for u in users}
+        state |= fresh
+        rows = spark.createDataFrame(sum(fresh.values(), []), "userId int, rank int, score double")
+        tables.write_batch(rows.coalesce(1), root, "T", batch)
+        if batch % 10 == 0:
+            for _ in range(1 + batch // 30):  # a repeated fold changes nothing
+                tables.fold_batches(spark, root, "T", "userId", schema)
+        assert len(tables.batches(spark, root, "T")) <= 12
+    found = spark.read.schema(schema).parquet(f"{root}/T")
+    last = found.groupBy("userId").agg(F.max("batch").alias("batch"))
+    newest = found.join(last, ["userId", "batch"], "left_semi").drop("batch").collect()
+    assert sorted(map(tuple, newest)) == sorted(sum(state.values(), []))
+
+
+def test_batches_leave_no_staged_tables(spark, tmp_path):
+    staged = Path(shared.shared_dir(spark).removeprefix("file://")) / "basketry"
+    sim = spark.createDataFrame([(1, 2, 0.9), (2, 1, 0.9)], "product1 int, product2 int, score double")
+    base = spark.createDataFrame([], "userId int, productId int")
+    recommender = OnlineRecommender(spark, str(tmp_path / "out"), lambda: sim, lambda: base, fold_every=2)
+    before = set(staged.glob("*")) if staged.exists() else set()
+    for batch in range(6):
+        rows = spark.createDataFrame([(batch % 3, 1, 1, 4.0, 10, 2)], recent_queue.OUTPUT)
+        recommender.process(rows, batch)
+    assert set(staged.glob("*")) == before
+    assert len(tables.batches(spark, str(tmp_path / "out"), "StreamRecs")) <= 3
+    assert {r["userId"] for r in recommender.current_rows().collect()} == {0, 1, 2}
