@@ -274,6 +274,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     found = shared.stage(
         dealt.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(counted, f"doc_id {kind}, {_COUNTED}"),
         "token-counts",
+        codec="zstd",
     )
     trains = F.when(~F.col("held_out"), F.col("n_tokens"))
     gone = F.col("cell").isNotNull()
