@@ -121,6 +121,6 @@ def queue_item(product, score) -> Column:
 def parse_queue_item(item) -> Column:
     parts = F.split(_col(item), settings.QUEUE_ITEM_SEPARATOR)
     return F.struct(
-        F.trim(parts[0]).cast("int").alias("productId"),
+        F.trim(parts[0]).cast("bigint").alias("productId"),
         F.trim(parts[1]).cast("double").alias("score"),
     )

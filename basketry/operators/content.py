@@ -27,7 +27,7 @@ from basketry.operators import ranking
 
 shared.ship(__name__)
 
-_PAIRS = "profile1 int, profile2 int, score double"
+_PAIRS = "profile1 bigint, profile2 bigint, score double"
 _VOCABULARY_CHUNK = 4096
 
 
@@ -120,19 +120,26 @@ def profile_similarity(
     else:
         vectors = vectors.withColumn("asked", F.lit(True))
     vectors = shared.stage(vectors, "vectors")
-    if block is None:
-        # Longer vectors go in smaller blocks: a block's size in terms is bounded.
-        longest = vectors.agg(F.max(F.size("terms"))).first()[0] or 1
-        block = max(1, min(settings.TILE_PROFILES, settings.TILE_TERMS // longest))
-    holders = vectors.select("profileId", F.explode("prefix").alias("term"))
+    holders = vectors.select(
+        "profileId", F.size("terms").alias("length"), F.explode("prefix").alias("term")
+    )
     if wanted is not None:
         terms = vectors.where("asked").select(F.explode("prefix").alias("term")).distinct()
         holders = holders.join(terms, "term", "left_semi")
     groups = (
         holders.groupBy("term")
-        .agg(F.count(F.lit(1)).alias("size"))
+        .agg(F.count(F.lit(1)).alias("size"), F.sum("length").alias("length"))
         .where(F.col("size") > 1)
-        .withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
+        .withColumn(
+            "blocks",
+            # A term's blocks are bounded in vectors and, by their mean length, in terms.
+            F.ceil(
+                F.greatest(
+                    F.col("size") / (block or settings.TILE_PROFILES),
+                    F.col("length") / settings.TILE_TERMS,
+                )
+            ).cast("int"),
+        )
     )
     # A hot term's group is cut in blocks; its vectors go to every pair of blocks.
     placed = (

@@ -101,4 +101,4 @@ def unpack_pages(pages: DataFrame, key: str, page_size: int = settings.PAGE_SIZE
 
 
 def empty_recs():
-    return F.array().cast("array<struct<productId:int,score:double>>")
+    return F.array().cast("array<struct<productId:bigint,score:double>>")

@@ -1,6 +1,6 @@
 """The package's operators as queries over the order warehouse: ``(spark, sf_dir) -> DataFrame``.
 
-Results are in long form, ids are ints and scores are rounded to six decimals.
+Results are in long form, ids are bigints and scores are rounded to six decimals.
 """
 
 from collections.abc import Callable
@@ -515,7 +515,7 @@ def stream_recs_lookup(spark, sf_dir):
     """Stream lists of the customers of one market segment, asked for by name."""
     customers = warehouse.table(spark, sf_dir, "customer")
     users = customers.select(
-        F.col("c_custkey").cast("int").alias("userId"), F.col("c_name").alias("username")
+        F.col("c_custkey").cast("bigint").alias("userId"), F.col("c_name").alias("username")
     )
     wanted = customers.where(F.col("c_mktsegment") == "BUILDING").select(
         F.col("c_name").alias("username")
@@ -626,7 +626,7 @@ def als_grid(spark, sf_dir):
 def als_recs_lookup(spark, sf_dir):
     customers = warehouse.table(spark, sf_dir, "customer")
     users = customers.select(
-        F.col("c_custkey").cast("int").alias("userId"), F.col("c_name").alias("username")
+        F.col("c_custkey").cast("bigint").alias("userId"), F.col("c_name").alias("username")
     )
     wanted = customers.where(F.col("c_mktsegment") == "BUILDING").select(
         F.col("c_name").alias("username")

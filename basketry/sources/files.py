@@ -8,7 +8,7 @@ from basketry import schemas, settings
 
 _PRODUCT_FILE = T.StructType(
     [
-        T.StructField("productId", T.IntegerType()),
+        T.StructField("productId", T.LongType()),
         T.StructField("name", T.StringType()),
         T.StructField("categoryIds", T.StringType()),
         T.StructField("externalId", T.StringType()),

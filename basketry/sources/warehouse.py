@@ -14,8 +14,8 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
-        orders.o_custkey.cast("int").alias("userId"),
-        lines.l_partkey.cast("int").alias("productId"),
+        orders.o_custkey.cast("bigint").alias("userId"),
+        lines.l_partkey.cast("bigint").alias("productId"),
         (1 + lines.l_quantity.cast("int") % 5).cast("double").alias("score"),
         scalars.epoch_seconds(lines.l_shipdate).alias("timestamp"),
     )
@@ -24,7 +24,7 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     return part.select(
-        F.col("p_partkey").cast("int").alias("productId"),
+        F.col("p_partkey").cast("bigint").alias("productId"),
         F.col("p_name").alias("name"),
         F.lit("").alias("imageUrl"),
         F.col("p_type").alias("categories"),
@@ -35,8 +35,8 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 def events_as_ratings(events: DataFrame) -> DataFrame:
     """Batch or streaming ``events`` as rating events with their order key."""
     return events.select(
-        F.col("user_id").cast("int").alias("userId"),
-        F.get_json_object("props", "$.k").cast("int").alias("productId"),
+        F.col("user_id").cast("bigint").alias("userId"),
+        F.get_json_object("props", "$.k").cast("bigint").alias("productId"),
         (1 + F.col("event_id") % 5).cast("double").alias("score"),
         scalars.epoch_seconds("ts").alias("timestamp"),
         "ts",
@@ -64,5 +64,5 @@ def events_as_log_lines(events: DataFrame) -> DataFrame:
 
 def dense_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(
-        F.col("vec_id").cast("int").alias("id"), F.col("embedding").alias("features")
+        F.col("vec_id").cast("bigint").alias("id"), F.col("embedding").alias("features")
     )

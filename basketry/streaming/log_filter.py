@@ -37,8 +37,8 @@ def parse_events(
 
     typed = payloads.select(
         *[c for c in payloads.columns if permissive or c != "value"],
-        field(0, "int").alias("userId"),
-        field(1, "int").alias("productId"),
+        field(0, "bigint").alias("userId"),
+        field(1, "bigint").alias("productId"),
         field(2, "double").alias("score"),
         scalars.normalise_epoch(field(3, "bigint"), time_unit).alias("timestamp"),
     )

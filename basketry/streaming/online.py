@@ -12,8 +12,8 @@ from basketry.streaming import run
 from basketry.streaming.recent_queue import EVENT_COLUMNS, queue_stream
 
 RATING_UPDATES = "RatingUpdates"
-_UPDATES_SCHEMA = "userId int, order1 bigint, order2 bigint, productId int, score double"
-_RECS_SCHEMA = "userId int, recs array<struct<productId:int,score:double>>, batch int"
+_UPDATES_SCHEMA = "userId bigint, order1 bigint, order2 bigint, productId bigint, score double"
+_RECS_SCHEMA = "userId bigint, recs array<struct<productId:bigint,score:double>>, batch int"
 
 
 class OnlineRecommender:

@@ -14,9 +14,9 @@ from basketry.streaming import run
 shared.ship(__name__)
 
 EVENT_COLUMNS = ("userId", "order1", "order2", "productId", "score")
-OUTPUT = "userId int, rank int, productId int, score double, order1 bigint, order2 bigint"
+OUTPUT = "userId bigint, rank int, productId bigint, score double, order1 bigint, order2 bigint"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_ENTRIES = "entries array<struct<order1:bigint,order2:bigint,productId:int,score:double>>"
+_ENTRIES = "entries array<struct<order1:bigint,order2:bigint,productId:bigint,score:double>>"
 
 
 def _newest(rows: pd.DataFrame, size: int) -> pd.DataFrame:

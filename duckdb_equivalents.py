@@ -1,21 +1,21 @@
 """DuckDB SQL that gives the same result as each deterministic query of the catalog."""
 
 RATINGS = """ratings AS (
-  SELECT CAST(o_custkey AS INT) AS userId, CAST(l_partkey AS INT) AS productId,
+  SELECT CAST(o_custkey AS BIGINT) AS userId, CAST(l_partkey AS BIGINT) AS productId,
          CAST(1 + CAST(l_quantity AS INT) % 5 AS DOUBLE) AS score,
          CAST(floor(epoch(l_shipdate)) AS BIGINT) AS "timestamp",
          CAST(year(l_shipdate) * 100 + month(l_shipdate) AS INT) AS yearmonth
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 PRODUCTS = """products AS (
-  SELECT CAST(p_partkey AS INT) AS productId, p_name AS name, '' AS imageUrl,
+  SELECT CAST(p_partkey AS BIGINT) AS productId, p_name AS name, '' AS imageUrl,
          p_type AS categories,
          concat_ws('|', replace(p_name, ' ', '|'), p_type, p_brand) AS tags
   FROM part)"""
 
 EVENTS = """rating_events AS (
-  SELECT CAST(user_id AS INT) AS userId,
-         CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS INT) AS productId,
+  SELECT CAST(user_id AS BIGINT) AS userId,
+         CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS BIGINT) AS productId,
          CAST(1 + event_id % 5 AS DOUBLE) AS score,
          CAST(floor(epoch(ts)) AS BIGINT) AS "timestamp", ts, event_id, event_type
   FROM events)"""
@@ -146,7 +146,7 @@ online_lists AS (
 # The live path on vectors of embeddings, both steps above the first threshold.
 FACTORS = (
     """vectors AS (
-  SELECT CAST(vec_id AS INT) AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+  SELECT CAST(vec_id AS BIGINT) AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 content_sim AS (
   SELECT a.id AS product1, b.id AS product2, list_cosine_similarity(a.v, b.v) AS score
   FROM vectors a JOIN vectors b ON a.id <> b.id
@@ -158,13 +158,13 @@ content_sim AS (
 )
 
 USER_ITEM = """halves AS (
-  SELECT vec_id % 2 AS odd, CAST(vec_id // 2 AS INT) AS id, CAST(embedding AS DOUBLE[]) AS v
+  SELECT vec_id % 2 AS odd, CAST(vec_id // 2 AS BIGINT) AS id, CAST(embedding AS DOUBLE[]) AS v
   FROM embeddings),
 users AS (SELECT id, v FROM halves WHERE odd = 0),
 items AS (SELECT id, v FROM halves WHERE odd = 1),
 moved AS (
-  SELECT CAST(userId % (SELECT max(vec_id) // 2 + 1 FROM embeddings) AS INT) AS userId,
-         CAST(productId % (SELECT max(vec_id) // 2 + 1 FROM embeddings) AS INT) AS productId, score
+  SELECT CAST(userId % (SELECT max(vec_id) // 2 + 1 FROM embeddings) AS BIGINT) AS userId,
+         CAST(productId % (SELECT max(vec_id) // 2 + 1 FROM embeddings) AS BIGINT) AS productId, score
   FROM base),
 predicted AS (
   SELECT userId, productId, score, u.v AS u, i.v AS i, list_inner_product(u.v, i.v) AS prediction
@@ -283,7 +283,7 @@ GROUP BY product1, (rank - 1) // 50""",
         "content_lookup": content_lookup,
         "content_stored_lookup": content_lookup,
         "dense_similar": """WITH vectors AS (
-  SELECT CAST(vec_id AS INT) AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)
+  SELECT CAST(vec_id AS BIGINT) AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)
 SELECT a.id AS product1, b.id AS product2, round(list_cosine_similarity(a.v, b.v), 6) AS score
 FROM vectors a JOIN vectors b ON a.id <> b.id
 WHERE list_cosine_similarity(a.v, b.v) > 0.4""",
