@@ -35,6 +35,8 @@ _END, _BEGIN, _SINGLE = (words.mix(np.array([n], np.uint64))[0] for n in (1, 2,
 _STEP = np.array([0xD1342543DE82EF95], np.uint64)
 _STEPS_PER_DOUBLING = 4
 _NEVER = 255
+#: Pairs, which are most of the keys, travel with 56 bits of their hash; single tokens with all.
+_PAIR_BITS = np.uint64(0xFFFFFFFFFFFFFF00)
 
 _ASK = "part int, bucket int, size int, keys binary, counts binary, deleted binary, known bigint"
 _ASK_SCHEMA = pa.schema(
@@ -75,7 +77,7 @@ class _Part:
         before[self.first[:-1]] = _BEGIN
         self.doc_of = np.repeat(np.arange(len(fold)), self.sizes)
         #: Keys of single tokens and of pairs.
-        self.keys = (words.mix(tokens ^ _SINGLE), words.mix(before * _STEP + tokens))
+        self.keys = (words.mix(tokens ^ _SINGLE), words.mix(before * _STEP + tokens) & _PAIR_BITS)
 
 
 def _ask(part: _Part, bits: int) -> pa.Table:
