@@ -23,6 +23,8 @@ shared.ship(__name__)
 
 WINDOW = 13
 _LAST = np.iinfo(np.int64).max
+#: Blocks only say where to look, so 56 bits of their hash are enough.
+_BLOCK_BITS = np.uint64(0xFFFFFFFFFFFFFF00)
 _ASK = pa.schema([("part", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()), ("facts", pa.binary())])
 _ASK_DDL = "part int, bucket int, keys binary, facts binary"
 
@@ -50,6 +52,10 @@ class _Part:
         return words.windows(self.hashes, size)
 
 
+def _blocks(part: _Part, block: int) -> np.ndarray:
+    return part.windows(block) & _BLOCK_BITS
+
+
 def _block(window: int) -> int:
     """Longest block of which any window of ``window`` words holds an aligned one."""
     return (window + 1) // 2
@@ -58,7 +64,7 @@ def _block(window: int) -> int:
 def _probes(part: _Part, block: int, bits: int) -> pa.Table:
     """All distinct rolling windows: is one an index block, and is it in several documents?"""
     at = np.flatnonzero(part.left >= block)
-    keys = part.windows(block)[at]
+    keys = _blocks(part, block)[at]
     order = np.argsort(keys, kind="stable")
     keys, at = keys[order], at[order]
     starts = packed.groups(keys)
@@ -97,7 +103,7 @@ def _match(table: pa.Table) -> pa.Table:
 def _around_hits(part: _Part, hits: np.ndarray, window: int) -> np.ndarray:
     """Starts of the whole windows that hold a hit block."""
     block = _block(window)
-    _, hit = packed.find(hits, part.windows(block))
+    _, hit = packed.find(hits, _blocks(part, block))
     hit &= part.left >= block
     counted = np.concatenate([[0], np.cumsum(hit)])
     last = np.minimum(np.arange(len(hit)) + window - block + 1, len(hit))
