@@ -1,10 +1,16 @@
 """Top-k per key, and packing recommendation rows into lists and back."""
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry import settings, shared
 
+shared.ship(__name__)
+
 
 def top_per_key(df: DataFrame, keys, order, k: int, rank: str = "rank") -> DataFrame:
     """The first ``k`` rows of every key.
@@ -44,22 +50,47 @@ def list_rank(
     order = [F.desc(F.round(score, 9)), F.asc(item)]
     # Finding the ranges reads the lists once more: staged, they are not worked out twice.
     lists = shared.stage(df, "lists")
+    sorted_ranges = (
+        lists.repartitionByRange(F.col(key), *order)
+        .sortWithinPartitions(F.col(key), *order)
+        .withColumn("range", F.spark_partition_id())
+    )
+    names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sorted_ranges.schema)
     ranges = shared.stage(
-        lists.repartitionByRange(F.col(key), *order).withColumn("range", F.spark_partition_id()),
-        "ranges",
+        sorted_ranges.mapInArrow(_numbered(df.columns.index(key)), f"{names}, place bigint"), "ranges"
     )
-    sizes = ranges.groupBy(key, "range").agg(F.count(F.lit(1)).alias("size"))
+    sizes = ranges.groupBy(key, "range").agg(F.max("place").alias("size"))
     before = Window.partitionBy(key).orderBy("range")
     offsets = sizes.select(key, "range", (F.sum("size").over(before) - F.col("size")).alias("offset"))
-    place = F.row_number().over(Window.partitionBy(key, "range").orderBy(*order))
     return (
-        ranges.withColumn("place", place)
-        .join(offsets, [key, "range"])
+        ranges.join(offsets, [key, "range"])
         .withColumn(rank, (F.col("offset") + F.col("place")).cast("int"))
         .select(*df.columns, rank)
     )
 
 
+def _numbered(key: int):
+    """Number the rows of each key in a sorted partition, from 1, batch after batch."""
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, done = None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = batch.column(key).to_numpy(zero_copy_only=False)
+            new = np.flatnonzero(np.r_[last is None or keys[0] != last, keys[1:] != keys[:-1]])
+            starts = np.zeros(len(keys), np.int64)
+            starts[new] = new
+            place = np.arange(len(keys)) - np.maximum.accumulate(starts) + 1
+            place[: new[0] if len(new) else len(keys)] += done
+            last, done = keys[-1], int(place[-1])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(place, pa.int64())], [*batch.schema.names, "place"]
+            )
+
+    return number
+
+
 def pack_pages(
     df: DataFrame, key: str, item="productId", score="score", page_size=settings.PAGE_SIZE
 ) -> DataFrame:

@@ -38,6 +38,17 @@ HEADLINE = (
     "stream_log_filter",
     "stream_recent_queue",
     "als_user_recs",
+    "als_recs_lookup",
+    "content_pages",
+    "content_stored_lookup",
+    "hybrid_blend",
+    "online_candidates",
+    "online_scores",
+    "online_factor_scores",
+    "factor_user_recs",
+    "stream_recs",
+    "stream_recs_lookup",
+    "stream_online_job",
 )
 
 

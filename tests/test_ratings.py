@@ -1,3 +1,4 @@
+import pyarrow as pa
 import pytest
 
 from basketry import settings
@@ -102,3 +103,12 @@ def test_pack_and_unpack(spark, rows):
     ranked = ranking.rank_recs(lists, "userId", 2)
     unpacked = ranking.unpack_recs(ranking.pack_recs(ranked, "userId"), "userId")
     assert rows(unpacked) == [(1, 1, 6, 0.9), (1, 2, 5, 0.5), (2, 1, 5, 0.1)]
+
+
+def test_numbers_go_on_over_batches():
+    keys = [1] * 3 + [2] * 7 + [3] * 2 + [4]
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array(keys[i : i + 2])], ["k"]) for i in range(0, len(keys), 2)
+    ]
+    found = [p for b in ranking._numbered(0)(batches) for p in b.column(1).to_pylist()]
+    assert found == [1, 2, 3, 1, 2, 3, 4, 5, 6, 7, 1, 2, 1]
