@@ -166,10 +166,11 @@ def itemcf_recs(spark, sf_dir):
 
 
 def itemcf_lookup(spark, sf_dir):
-    recs = itemcf.itemcf_recs(warehouse.ratings(spark, sf_dir))
+    requests = _requests(spark, sf_dir)
+    top = itemcf.requested_top(warehouse.ratings(spark, sf_dir), requests)
     found = serving.product_recs(
-        _requests(spark, sf_dir),
-        recs,
+        requests,
+        ranking.pack_recs(top, "productId", item="recId"),
         warehouse.products(spark, sf_dir),
         _averages(spark, sf_dir),
     )
@@ -588,7 +589,7 @@ def hybrid_blend(spark, sf_dir):
         blend.blend(
             {
                 "offline": (
-                    of_trigger(itemcf.cooccurrence_top(warehouse.ratings(spark, sf_dir))),
+                    of_trigger(itemcf.requested_top(warehouse.ratings(spark, sf_dir), triggers)),
                     0.5,
                 ),
                 "content": (of_trigger(whole), 0.2),
