@@ -167,6 +167,52 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_substring_dedup": r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (
+  SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS pos FROM docs WHERE len(words) >= 13),
+keyed AS (SELECT doc_id, pos, array_to_string(words[pos:pos + 12], ' ') AS window_text FROM windows),
+firsts AS (SELECT window_text, min(doc_id) AS first_doc FROM keyed GROUP BY window_text),
+covered AS (
+  SELECT DISTINCT doc_id, pos + d AS place
+  FROM keyed JOIN firsts USING (window_text) CROSS JOIN (SELECT unnest(range(13)) AS d)
+  WHERE first_doc < doc_id),
+gone AS (SELECT doc_id, list(place) AS places FROM covered GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+       CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
+       sha256(array_to_string(list_filter(words, lambda w, i: places IS NULL OR NOT list_contains(places, i)), ' '))
+         AS kept_sha256
+FROM docs LEFT JOIN gone USING (doc_id)
+""",
+    "op6_decontamination": r"""
+WITH lowered AS (
+  SELECT 'd' AS kind, doc_id AS id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+  UNION ALL
+  SELECT 'b', item_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz') FROM benchmark),
+listed AS (
+  SELECT kind, id, regexp_extract_all(text, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM lowered),
+item_windows AS (
+  SELECT id, words, least(10, len(words)) AS size, unnest(range(1, len(words) - least(10, len(words)) + 2)) AS pos
+  FROM listed WHERE kind = 'b' AND len(words) > 0),
+items AS (SELECT DISTINCT id, size, array_to_string(words[pos:pos + size - 1], ' ') AS window_text FROM item_windows),
+doc_windows AS (
+  SELECT id, words, size, unnest(range(1, len(words) - size + 2)) AS pos
+  FROM listed, (SELECT DISTINCT size FROM items) WHERE kind = 'd' AND len(words) >= size),
+hits AS (
+  SELECT d.id, d.pos, d.size, i.id AS item
+  FROM (SELECT id, pos, size, array_to_string(words[pos:pos + size - 1], ' ') AS window_text FROM doc_windows) d
+  JOIN items i ON i.size = d.size AND i.window_text = d.window_text),
+places AS (
+  SELECT id, count(DISTINCT place) AS n FROM (SELECT id, unnest(range(pos, pos + size)) AS place FROM hits) GROUP BY id),
+found AS (SELECT id, list_sort(list(DISTINCT CAST(item AS VARCHAR))) AS names FROM hits GROUP BY id)
+SELECT l.id AS doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(len(names), 0) AS BIGINT) AS n_items,
+       sha256(coalesce(array_to_string(names, ','), '')) AS items_sha256, n IS NOT NULL AS contaminated
+FROM listed l LEFT JOIN places p ON p.id = l.id LEFT JOIN found f ON f.id = l.id WHERE kind = 'd'
+""",
     "op5_url_filters": r"""
 WITH captures AS (
   SELECT page_id, url, DATE '2024-01-01' + CAST(page_id % 360 AS INTEGER) AS fetched,
