@@ -9,7 +9,7 @@ from basketry import settings, shared
 from basketry.operators import online, ranking
 from basketry.sinks.tables import batches, fold_batches, write_batch
 from basketry.streaming import run
-from basketry.streaming.recent_queue import EVENT_COLUMNS, queue_stream
+from basketry.streaming.recent_queue import EVENT_COLUMNS, keyed_state, queue_stream
 
 RATING_UPDATES = "RatingUpdates"
 _UPDATES_SCHEMA = "userId bigint, order1 bigint, order2 bigint, productId bigint, score double"
@@ -53,7 +53,8 @@ class OnlineRecommender:
 
     def start(self, events: DataFrame, checkpoint: str, once: bool = False):
         writer = queue_stream(events).writeStream.outputMode("update").foreachBatch(self.process)
-        return run.start(writer, checkpoint, once)
+        with keyed_state(self.spark):
+            return run.start(writer, checkpoint, once)
 
     def process(self, queue_rows: DataFrame, batch_id: int) -> None:
         with shared.scratch(self.spark):

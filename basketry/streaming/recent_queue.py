@@ -1,6 +1,7 @@
 """The recent-rating queue as keyed state of a streaming query."""
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ shared.ship(__name__)
 
 EVENT_COLUMNS = ("userId", "order1", "order2", "productId", "score")
 OUTPUT = "userId bigint, rank int, productId bigint, score double, order1 bigint, order2 bigint"
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _ENTRIES = "entries array<struct<order1:bigint,order2:bigint,productId:bigint,score:double>>"
 
@@ -64,8 +66,6 @@ def queue_stream(events: DataFrame, size: int = settings.QUEUE_SIZE) -> DataFram
     the shuffle every chunk of input rows keeps ``size`` events per user, so a user with a
     large share of the stream does not send all of it to one task.
     """
-    spark = events.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
     columns = events.select(*EVENT_COLUMNS)
     return (
         columns.mapInPandas(_thin_out(size), columns.schema)
@@ -74,6 +74,23 @@ def queue_stream(events: DataFrame, size: int = settings.QUEUE_SIZE) -> DataFram
     )
 
 
+@contextmanager
+def keyed_state(spark: SparkSession):
+    """Start a query with state inside: it keeps the settings it was started with.
+
+    Other streams of the session go on with the state store they are set to.
+    """
+    before = spark.conf.get(_PROVIDER, None)
+    spark.conf.set(_PROVIDER, _ROCKSDB)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_PROVIDER)
+        else:
+            spark.conf.set(_PROVIDER, before)
+
+
 QUEUE = "RecentQueue"
 
 
@@ -92,7 +109,8 @@ def start_queue(
             fold_batches(rows.sparkSession, root, QUEUE, "userId", OUTPUT + ", batch int")
 
     writer = queue_stream(events).writeStream.outputMode("update").foreachBatch(write)
-    return run.start(writer, checkpoint, once)
+    with keyed_state(events.sparkSession):
+        return run.start(writer, checkpoint, once)
 
 
 def current_queue(spark: SparkSession, root: str) -> DataFrame:

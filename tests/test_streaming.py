@@ -89,6 +89,7 @@ def test_queue_state_over_batches_and_a_restart(spark, tmp_path, rows, event_fol
         expected = ratings.recent_queue(
             spark.createDataFrame(seen, EVENTS), ("order1", "order2")
         )
+        assert spark.conf.get(recent_queue._PROVIDER) != recent_queue._ROCKSDB
         found = recent_queue.current_queue(spark, str(tmp_path / "out"))
         assert rows(found, *columns) == rows(expected, *columns)
 
