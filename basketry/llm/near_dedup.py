@@ -5,7 +5,9 @@ arrivals form a Poisson process of its weight; each arrival falls on a random re
 register keeps the earliest shingle, and a text stops when no later arrival can win.  Two texts
 agree in a register with the probability Jaccard of their sets.  Registers are banded, texts that
 share a band are candidates, and candidates are verified: their sets of shingles must have a
-Jaccard similarity of 0.8 or more.
+Jaccard similarity of 0.8 or more.  Where counts differ the probability Jaccard may be far below
+that, so a text that repeats shingles also has the bands of the same registers with all weights 1,
+which agree with the Jaccard similarity; a text that repeats none has the same bands either way.
 
 Equal texts are collapsed first.  The candidates of the smallest text of a band bucket form its
 group; groups are cut into blocks of bounded size, so that no task holds a hot one.  Inside a
@@ -93,6 +95,17 @@ def band_keys(signature: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np
     return out.view(np.int64)
 
 
+def candidate_keys(sets: list[tuple[np.ndarray, np.ndarray]], bands: int, rows: int) -> list[list[int]]:
+    """Band keys of every (non-empty) set: by its counts, and by weights of 1 where counts differ from it."""
+    out = band_keys(signatures(sets, bands * rows), bands, rows).tolist()
+    counted = [i for i, (_, w) in enumerate(sets) if w.max() > 1]
+    if counted:
+        plain = [(sets[i][0], np.ones(len(sets[i][0]))) for i in counted]
+        for i, own in zip(counted, band_keys(signatures(plain, bands * rows), bands, rows).tolist(), strict=True):
+            out[i] = list(dict.fromkeys(out[i] + own))
+    return out
+
+
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
     """Jaccard similarity of two sorted sets."""
     common = len(np.intersect1d(a, b, assume_unique=True))
@@ -153,8 +166,8 @@ def sign(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
                 filled = [i for i, (k, _) in enumerate(sets) if len(k)]
                 found: list = [[]] * len(some)
                 if filled:
-                    keys = band_keys(signatures([sets[i] for i in filled], bands * rows), bands, rows)
-                    for i, own in zip(filled, keys.tolist(), strict=True):
+                    keys = candidate_keys([sets[i] for i in filled], bands, rows)
+                    for i, own in zip(filled, keys, strict=True):
                         found[i] = own
                 yield pa.RecordBatch.from_arrays(
                     [

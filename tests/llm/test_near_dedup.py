@@ -98,3 +98,24 @@ def test_registers_agree_with_the_probability_jaccard():
     signature = near_dedup.signatures(sets, 4096)
     share = float((signature[0] == signature[1]).mean())
     assert abs(share - probability_jaccard(a, b)) < 0.03
+
+
+def test_repeated_lines_do_not_hide_alike_sets(spark):
+    """Copies of a text that repeat one of its lines often have alike sets, but unlike counts."""
+    rows = []
+    for n, times in enumerate((20, 40, 100, 200, 400, 800)):
+        for copy in range(4):
+            own = [f"t{n}_{copy}_{i}" for i in range(300)]
+            rows.append((len(rows), " ".join(own)))
+            rows.append((len(rows), " ".join(own + own[100:110] * times)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    expected = expected_classes(rows)
+    assert len(set(expected.values())) == len(rows) // 2
+    assert {r.doc_id: r.class_id for r in near_dedup.classes(docs).collect()} == expected
+
+
+def test_texts_without_repeats_have_the_same_bands_either_way():
+    sets = near_dedup.shingles([" ".join(f"w{i}" for i in range(60)).encode(), b"a b c d e " * 20])
+    keys = near_dedup.candidate_keys(sets, 32, 4)
+    weighted = near_dedup.band_keys(near_dedup.signatures(sets, 128)).tolist()
+    assert keys[0] == weighted[0] and keys[1][:32] == weighted[1] and len(keys[1]) > 32
