@@ -28,6 +28,23 @@ def test_unclosed_elements_and_empty_pages():
     assert html_extraction.text_lines(None) == html_extraction.text_lines("") == ([], True)
 
 
+def test_classes_of_topic_and_layout_leave_nothing_out():
+    body = "<p>First line of the text</p><p>Second line of the text</p>"
+    kept = ["First line of the text", "Second line of the text"]
+    for name in ("post category-social", "category-advertising", "post tag-sponsored", "social", "teaser"):
+        html = PAGE % f"<article class='{name}'>{body}<div class='social-links'>Tell</div></article>"
+        assert html_extraction.text_lines(html) == (kept, True), name
+    for name in ("layout with-sidebar", "has-sidebar", "sidebar", "widget"):
+        html = f"<div class='{name}'>{body}<div class='ad'>Buy</div></div><div class='site-footer'>c</div>"
+        assert html_extraction.text_lines(html) == (kept, False), name
+        html = f"<div class='{name}'><div>{body}</div><ol class='comments'>{'<li>So true' * 40}</ol></div>"
+        assert html_extraction.text_lines(html) == (kept, False), name
+        html = f"<div class='{name}'><article>{body}</article></div>" + "<p>Other lines</p>" * 40
+        assert html_extraction.text_lines(html) == (kept, True), name
+    html = f"<article>{body}</article><div id='comments'><article class='comment-body'>{'So true ' * 40}</article></div>"
+    assert html_extraction.text_lines(html) == (kept, True)
+
+
 def test_template_lines_are_found_by_differencing(spark):
     def page(i):
         return PAGE % f"<div><p>About this site</p><p>Text number {i}</p><p>Imprint</p></div>"
