@@ -62,6 +62,33 @@ def test_template_lines_are_found_by_differencing(spark):
     assert html_extraction.extract(pages.limit(0)).count() == 0
 
 
+def test_copies_and_shared_passages_keep_their_text(spark):
+    """Pages without an article: near copies at near URLs, and a passage that two neighbours share."""
+
+    def page(name, *lines):
+        return "".join(f"<p>{x}</p>" for x in ("About this site", *lines, f"End of {name}", "Imprint"))
+
+    def body(name):
+        return [f"Line {i} of the text of {name}, which is a rather long one" for i in range(12)]
+
+    rows = []
+    for n in range(4):
+        lines = body(f"story {n}")
+        rows += [(10 * n + c, f"http://h.example/s{n}/{c}", page(f"{n}", f"Printed on day {n}.{c}", *lines)) for c in range(3)]
+    shared = ["A passage of the two neighbours, which belongs to both of their texts"]
+    rows += [(100, "http://i.example/a/1", page("p", *body("p"), *shared)), (101, "http://i.example/a/2", page("q", *body("q"), *shared))]
+    rows += [(102, "http://i.example/b", page("r", *body("r")))]
+    rows += [(200, "http://j.example/1", page("s", "Day 1", *body("s"))), (201, "http://j.example/1?print", page("s", "Day 2", *body("s")))]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r.page_id: r.text.split("\n") for r in html_extraction.extract(pages).collect()}
+    for n in range(4):
+        for c in range(3):
+            assert got[10 * n + c] == [f"Printed on day {n}.{c}", *body(f"story {n}"), f"End of {n}"]
+    assert got[100] == [*body("p"), *shared, "End of p"] and got[101] == [*body("q"), *shared, "End of q"]
+    for i, day in ((200, "Day 1"), (201, "Day 2")):
+        assert got[i] == ["About this site", day, *body("s"), "End of s", "Imprint"]
+
+
 def test_cells_split_a_host(spark, monkeypatch):
     monkeypatch.setattr(html_extraction, "CELL_BYTES", 2000)
     rows = [(i, "http://h.example/same", f"<p>Frame</p><p>Text {i}</p>" + " " * 500) for i in range(60)]
