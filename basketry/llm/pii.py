@@ -6,8 +6,8 @@ An island is then segmented: every segment of at most ``MAX_ATOMS`` atoms gets a
 kind from features of the whole span, and a dynamic program over segments chooses boundaries
 and kinds together.  Its spans that touch no base span are added.
 
-The field is trained by maximum likelihood on a bounded number of islands of the corpus, which
-the base rules label, and on copies of them that the rules miss (phone numbers without their
+The field is trained by maximum likelihood on a bounded number of islands of the corpus, an equal
+share of every kind and of islands without any as far as there are so many, which the base rules label, and on copies of them that the rules miss (phone numbers without their
 country code).
 
 Defined results: a null or empty text has no spans; without islands to learn from nothing is
@@ -20,7 +20,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry import shared
@@ -29,7 +29,7 @@ from basketry.llm import words
 shared.ship(__name__)
 
 KINDS = ("email", "ip", "card", "phone")
-#: Islands that the field learns from, the first by a hash of their text.
+#: Islands that the field learns from, in turn the first of every kind by a hash of their text.
 MAX_TRAINING = 800
 EPOCHS = 5
 MAX_ATOMS = 16
@@ -246,18 +246,41 @@ def train(texts: list[str], epochs: int = EPOCHS) -> np.ndarray:
     return weights
 
 
-def learn(docs: DataFrame, most: int = MAX_TRAINING, text_col: str = "text") -> np.ndarray:
-    """Weights from ``most`` different islands of the corpus, chosen by a hash of their text."""
+def _strata(island: str) -> list[int]:
+    """Numbers of the kinds that the base rules find in an island, or that of none."""
+    return sorted({KINDS.index(kind) for kind, _, _ in base_spans(island)}) or [len(KINDS)]
+
+
+def training_islands(docs: DataFrame, most: int = MAX_TRAINING, text_col: str = "text") -> list[str]:
+    """``most`` different islands at most, in turn the next of every kind and of those without any.
+
+    Inside a kind islands are ordered by a hash of their text.  Kinds with few islands leave
+    their places to the others, so that all islands are taken where there are no more than ``most``.
+    """
 
     def run(batches):
         for batch in batches:
             found = sorted({t[s:e] for t in batch.column(0).to_pylist() if t for s, e in islands(t) if e - s < 200})
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["island"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found, pa.string()), pa.array([_strata(x) for x in found], pa.list_(pa.int32()))],
+                ["island", "strata"],
+            )
 
     found = docs.select(F.col(text_col).alias("text")).where(F.col("text").rlike("[0-9@]"))
-    found = found.mapInArrow(run, "island string").distinct()
-    chosen = found.orderBy(F.xxhash64("island"), "island").limit(most)
-    return train([r[0] for r in chosen.collect()])
+    found = found.mapInArrow(run, "island string, strata array<int>").dropDuplicates(["island"])
+    ranked = (
+        found.select("island", F.explode("strata").alias("stratum"))
+        .withColumn("hash", F.xxhash64("island"))
+        .withColumn("rank", F.row_number().over(Window.partitionBy("stratum").orderBy("hash", "island")))
+        .where(F.col("rank") <= most)
+    )
+    chosen = ranked.groupBy("island", "hash").agg(F.min("rank").alias("rank")).orderBy("rank", "hash", "island")
+    return [r["island"] for r in sorted(chosen.limit(most).collect(), key=lambda r: (r["hash"], r["island"]))]
+
+
+def learn(docs: DataFrame, most: int = MAX_TRAINING, text_col: str = "text") -> np.ndarray:
+    """Weights from a bounded number of different islands of the corpus, some of every kind."""
+    return train(training_islands(docs, most, text_col))
 
 
 _SPANS = "array<struct<kind: string, start: bigint, end: bigint>>"

@@ -152,6 +152,22 @@ def test_personal_data_of_whole_tables(spark, documents, odd):
     assert pii.find(odd.limit(0), pii.learn(odd.limit(0))).count() == 0
 
 
+def test_field_learns_every_kind_beside_many_numbers(spark):
+    """Nearly all islands are numbers of one source."""
+    rng = random.Random(6)
+    number = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    rare = [f"+1 ({number(3)}) 555-{number(4)}" for _ in range(8)]
+    rare += [f"ab{number(2)}.{number(2)}@mail{number(1)}.example.com" for _ in range(8)]
+    rare += [".".join(str(rng.randrange(256)) for _ in range(4)) for _ in range(8)]
+    texts = [f"call {x} now" for x in rare] + ["no numbers here"] * 24
+    texts += [" and ".join(f"{number(4)}-{number(2)}-{number(2)}T{number(6)}" for _ in range(200)) for _ in range(180)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    chosen = pii.training_islands(docs)
+    assert len(chosen) == len(set(chosen)) == pii.MAX_TRAINING and set(rare) <= set(chosen)
+    assert pii.decode("(212) 555-1234", pii.learn(docs), {}) == [("phone", 0, 14)]
+    assert sorted(pii.training_islands(docs.where("doc_id < 24"))) == sorted(rare)
+
+
 def test_field_learns_boundaries_and_kinds():
     rng = random.Random(4)
     number = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
