@@ -7,6 +7,7 @@ only left out of the near-duplicate classes, which keeps them.
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from basketry import shared
 from basketry.llm import bpe, decontamination, near_dedup, pii, quality_rules
@@ -24,10 +25,27 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class, the one of the smallest id; one row for an id."""
-    kept = near_dedup.classes(docs).where("doc_id = class_id").select("doc_id")
+    """One document of each near-duplicate class, the one of the smallest id; one row for an id and text.
+
+    Where an id has several texts, each is judged by itself, in order of the id and a digest.
+    """
+    digest = F.md5(F.coalesce(F.col("text"), F.lit("")))
     alone = docs.where(F.col("doc_id").isNull())
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(alone)
+    several = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        F.min(digest).alias("first"), F.max(digest).alias("last")
+    )
+    if several.where("first < last").isEmpty():
+        kept = near_dedup.classes(docs).where("doc_id = class_id").select("doc_id")
+        return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(alone)
+
+    number = F.col("doc_id").cast("string")
+    if isinstance(docs.schema["doc_id"].dataType, IntegralType):
+        # As digits whose order is that of the ids.
+        number = F.lpad((F.col("doc_id").cast("decimal(20,0)") + F.lit("9223372036854775808").cast("decimal(20,0)")).cast("string"), 20, "0")
+    name = "key" + "_" * max(map(len, docs.columns))
+    keyed = docs.withColumn(name, F.concat(number, F.lit("\x01"), digest))
+    kept = near_dedup.classes(keyed, id_col=name).where("doc_id = class_id").select(F.col("doc_id").alias(name))
+    return keyed.join(kept, name, "left_semi").dropDuplicates([name]).select(docs.columns).unionByName(alone)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -58,3 +58,16 @@ def test_stages_bear_odd_rows(spark, odd):
         kept = corpus_pipeline.near_duplicates(spark, docs, SF_DIR)
         ids = [r.doc_id for r in kept.collect() if r.doc_id is not None]
         assert len(ids) == len(set(ids))
+
+
+def test_texts_of_one_id_are_judged_by_themselves(spark):
+    """Rows of one id with different texts, some of them near copies of texts of other ids."""
+    text = [" ".join(f"w{n}_{i}" for i in range(60)) for n in range(5)]
+    given = [(3, text[0]), (3, text[1]), (3, text[1] + " end"), (10, text[1]), (10, text[2]), (-4, text[2])]
+    given += [(3, text[0]), (20, text[3]), (20, text[3]), (None, text[0]), (21, None), (21, text[4])]
+    docs = spark.createDataFrame(given, "doc_id bigint, text string")
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, SF_DIR).collect()]
+    ones = [x for x in got if x[0] == 3 and x[1].startswith(text[1])]
+    assert len(ones) == 1
+    rest = [(3, text[0]), (-4, text[2]), (20, text[3]), (None, text[0]), (21, None), (21, text[4])]
+    assert sorted(map(str, got)) == sorted(map(str, rest + ones))
