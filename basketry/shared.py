@@ -61,8 +61,22 @@ def stage(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
 
 
 def ship(module_name: str) -> None:
-    """Send a module's functions inside the task, so executors need no installed copy."""
+    """Send a module's functions inside the task, so executors need no installed copy.
+
+    This module goes along, as modules that call ``ship`` hold it.
+    """
     cloudpickle.register_pickle_by_value(sys.modules[module_name])
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def send(spark: SparkSession, value):
+    """Broadcast an object whose class executors need no copy of; ``received`` gives it back."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(sent):
+    """The object of a ``send``, in a task."""
+    return cloudpickle.loads(sent.value)
 
 
 def use_checkpoints(spark: SparkSession) -> None:
