@@ -220,10 +220,10 @@ def encode(
     It is sent to every task, which its checked size allows.
     """
     spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(Vocabulary(tokenizer))
+    sent = shared.send(spark, Vocabulary(tokenizer))
 
     def run(batches):
-        encoder = Encoder(sent.value)
+        encoder = Encoder(shared.received(sent))
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for start, end in words.text_slices(texts):

@@ -102,16 +102,17 @@ def _without(got: words.Words, texts: list, marked: np.ndarray, i: int) -> str |
 
 
 def _by_broadcast(docs: DataFrame, rows: list) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast(WindowSet(rows))
+    sent = shared.send(docs.sparkSession, WindowSet(rows))
 
     def run(batches):
+        windows = shared.received(sent)
         for batch in batches:
             for start, end in words.text_slices(texts := words.binary(batch.column(1))):
                 some = texts[start:end]
                 got = words.Words(some, words.NORMAL, lower=True)
                 marked = np.zeros(len(got), bool)
                 items = defaultdict(set)
-                for i, size, names in sent.value.hits(got):
+                for i, size, names in windows.hits(got):
                     marked[i : i + size] = True
                     items[int(got.text_of[i])].update(names)
                 clean = [_without(got, some, marked, i) if i in items else None for i in range(len(some))]

@@ -295,10 +295,10 @@ def learn(
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
     """``doc_id, score, strongest`` of every row: the probability, and the word it rests on."""
     own = words.picked(docs, id_col, text_col, carry)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = shared.send(docs.sparkSession, model)
 
     def run(batches):
-        model = sent.value
+        model = shared.received(sent)
         known: dict[str, float] = {}
         for batch in batches:
             for start, end in words.text_slices(words.binary(batch.column(1))):
