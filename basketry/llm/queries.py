@@ -13,6 +13,7 @@ from basketry.llm import (
     near_dedup,
     pii,
     quality_rules,
+    source_divergence,
     substring_dedup,
     toxicity,
     url_filters,
@@ -150,6 +151,10 @@ def op10_bpe(spark, sf_dir):
     )
 
 
+def op11_source_divergence(spark, sf_dir):
+    return source_divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -163,6 +168,7 @@ QUERIES = {
         op8_pii,
         op9_toxicity,
         op10_bpe,
+        op11_source_divergence,
     )
 }
 
@@ -250,5 +256,39 @@ verdicts AS (
 SELECT c.page_id, c.url, c.host, c.fetched, coalesce(v.listed, '') AS listed,
        coalesce(v.categories, '') AS categories, v.listed IS NOT NULL AS blocked
 FROM captures c LEFT JOIN verdicts v USING (page_id)
+""",
+    "op11_source_divergence": r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+used AS (SELECT id, lang, source, unnest(terms) AS term FROM docs),
+counts AS (SELECT lang, source, term, count(*) AS n FROM used GROUP BY ALL),
+common AS (SELECT lang, term FROM used GROUP BY ALL HAVING count(DISTINCT id) >= 30),
+named AS (SELECT DISTINCT lang, source FROM docs),
+grid AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n
+  FROM named g JOIN common k ON k.lang = g.lang
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+summed AS (
+  SELECT *, sum(n) OVER (PARTITION BY lang, term) AS lang_n, sum(n) OVER (PARTITION BY lang, source) AS total,
+         sum(n) OVER (PARTITION BY lang) AS lang_total, count(*) OVER (PARTITION BY lang, source) AS v FROM grid),
+shares AS (
+  SELECT lang, source, term, n, 1 + (1000000000 * (n + 5)) // (total + 5 * v) AS p,
+         1 + (1000000000 * (lang_n + 5)) // (lang_total + 5 * v) AS q FROM summed),
+apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(d.value, 0) AS BIGINT) AS value
+  FROM named a JOIN named b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart d ON d.lang = a.lang AND d.source = a.source AND d.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, CAST(p - q AS BIGINT) FROM shares WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+  FROM found)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50
 """,
 }
