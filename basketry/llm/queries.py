@@ -11,6 +11,7 @@ from basketry.llm import (
     html_extraction,
     lm_scoring,
     near_dedup,
+    periodic_runs,
     pii,
     quality_rules,
     source_divergence,
@@ -155,6 +156,41 @@ def op11_source_divergence(spark, sf_dir):
     return source_divergence.audit(_table(spark, sf_dir, "documents"))
 
 
+def _stretched(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``; a tenth of the texts, by a hash of the id, repeat some of their words to the end."""
+    given = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h"))
+    split = F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")
+    placed = (
+        given.withColumn("words", F.when(F.col("h") % 10 == 0, split))
+        .withColumn("n", F.size("words"))
+        .withColumn("g", F.floor(F.col("h") / 10))
+        .withColumn("a", F.when(F.col("n") > 0, F.expr("cast(g % n as int)")))
+        .withColumn("p", F.expr("cast(1 + (n - a) div (3 + g % 8) as int)"))
+    )
+    longer = F.expr(
+        "array_join(concat(slice(words, 1, a), slice(flatten(array_repeat(slice(words, a + 1, p), "
+        "cast(1 + (n - a) div p as int))), 1, n - a)), ' ')"
+    )
+    return placed.select("doc_id", F.when(F.col("n") > 0, longer).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark, sf_dir):
+    found = periodic_runs.detect(_stretched(_table(spark, sf_dir, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    listed = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    start, length, period = -longest["col2"], longest["length"], -longest["col3"]
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        start.alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(listed, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -169,6 +205,7 @@ QUERIES = {
         op9_toxicity,
         op10_bpe,
         op11_source_divergence,
+        op13_periodic_runs,
     )
 }
 
