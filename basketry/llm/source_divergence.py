@@ -186,30 +186,27 @@ def _differences(table: pa.Table, blocks: tuple[int, int], chunk: int) -> pa.Tab
     )
 
 
-def pair_values(groups: DataFrame, terms: DataFrame, block: int = BLOCK, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def pair_values(groups: DataFrame, terms: DataFrame) -> DataFrame:
     """``lang, source, item, value`` for every two groups of a language.
 
-    ``groups`` has ``lang, source, total, v`` and ``terms`` has ``lang, source, term, p``.
+    ``groups`` has ``lang, source, total, v``, ``terms`` has ``lang, source, term, p``, and both
+    have the numbers of ``blocks`` and ``chunks`` of the language.
     """
-    plan = (
-        groups.groupBy("lang")
-        .agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-        .join(terms.groupBy("lang").agg(F.count("*").alias("rows")), "lang", "left")
-        .select("lang", "blocks", F.ceil(F.coalesce("rows", F.lit(1)) / chunk_rows).cast("int").alias("chunks"))
-    )
-    own = F.pmod(F.xxhash64("source"), F.col("blocks")).cast("int")
-    chunks = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
+    own = F.pmod(F.xxhash64("source"), F.col("blocks")).cast("int").alias("block")
     columns = ["lang", "source", "term", "p", "v", "block", "blocks", "chunk"]
-    given = terms.join(plan, "lang").select(
-        "lang", "source", "term", "p", F.lit(None).cast("bigint").alias("v"), own.alias("block"), "blocks",
-        F.pmod(F.xxhash64("term"), F.col("chunks")).cast("int").alias("chunk"),
+    given = terms.select(
+        "*", F.lit(None).cast("bigint").alias("v"), own, F.pmod(F.xxhash64("term"), F.col("chunks")).cast("int").alias("chunk")
     )
-    every = groups.join(plan, "lang").select(
-        "lang", "source", F.lit(None).cast("string").alias("term"), share("0", "total").alias("p"), "v",
-        own.alias("block"), "blocks", chunks.alias("chunk"),
+    every = groups.select(
+        "*",
+        F.lit(None).cast("string").alias("term"),
+        share("0", "total").alias("p"),
+        own,
+        F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"),
     )
     met = (
-        given.unionByName(every)
+        given.select(columns)
+        .unionByName(every.select(columns))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(*columns, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     )
@@ -246,36 +243,60 @@ def audit(
             for c, name in ((lang_col, "lang"), (source_col, "source"), (text_col, "text"))
         ]
     )
-    counts = shared.stage(term_counts(docs), "term-counts")
-    common = (
-        counts.groupBy("lang", "term")
-        .agg(F.sum("docs").alias("docs"), F.sum("n").alias("lang_n"))
-        .where(F.col("docs") >= min_docs)
-        .drop("docs")
-    )
-    kept = shared.stage(counts.drop("docs").join(common, ["lang", "term"]), "kept-terms")
-    totals = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    langs = (
-        kept.groupBy("lang", "term").agg(F.first("lang_n").alias("lang_n")).groupBy("lang").agg(
-            F.count("*").alias("v"), F.sum("lang_n").alias("lang_total")
+    by_term = Window.partitionBy("lang", "term")
+    kept = shared.stage(
+        term_counts(docs)
+        .select(
+            "lang",
+            "source",
+            "term",
+            "n",
+            F.sum("n").over(by_term).alias("lang_n"),
+            F.sum("docs").over(by_term).alias("all_docs"),
+            (F.min("source").over(by_term) == F.col("source")).alias("first"),
         )
+        .where(F.col("all_docs") >= min_docs)
+        .drop("all_docs"),
+        "kept-terms",
+    )
+    totals = kept.groupBy("lang", "source").agg(
+        F.sum("n").alias("total"), F.count("*").alias("rows"), F.count_if("first").alias("firsts")
     )
+    by_lang = Window.partitionBy("lang")
+
+    def tasks(number, each):
+        return F.greatest(F.ceil(number / each), F.lit(1)).cast("int")
+
     groups = shared.stage(
         docs.select("lang", "source")
         .distinct()
         .join(totals, ["lang", "source"], "left")
-        .join(langs, "lang", "left")
-        .na.fill(0, ["total", "v", "lang_total"]),
+        .na.fill(0, ["total", "rows", "firsts"])
+        .select(
+            "lang",
+            "source",
+            "total",
+            F.sum("total").over(by_lang).alias("lang_total"),
+            F.sum("firsts").over(by_lang).alias("v"),
+            tasks(F.count("*").over(by_lang), block).alias("blocks"),
+            tasks(F.sum("rows").over(by_lang), chunk_rows).alias("chunks"),
+        ),
         "groups",
     )
     shares = shared.stage(
         kept.join(groups, ["lang", "source"]).select(
-            "lang", "source", "term", share("n", "total").alias("p"), share("lang_n", "lang_total").alias("q")
+            "lang",
+            "source",
+            "term",
+            share("n", "total").alias("p"),
+            share("lang_n", "lang_total").alias("q"),
+            "blocks",
+            "chunks",
         ),
         "shares",
     )
     by_value = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
-    pairs = pair_values(groups, shares.drop("q"), block, chunk_rows).withColumn("rank", F.row_number().over(by_value))
+    pairs = pair_values(groups, shares.drop("q")).withColumn("rank", F.row_number().over(by_value))
     terms = (
         shares.where("p > q")
         .select("lang", "source", F.col("term").alias("item"), (F.col("p") - F.col("q")).alias("value"))
