@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from basketry.llm import (
     bpe,
     decontamination,
+    embedding_near_dedup,
     html_extraction,
     lm_scoring,
     near_dedup,
@@ -156,6 +157,10 @@ def op11_source_divergence(spark, sf_dir):
     return source_divergence.audit(_table(spark, sf_dir, "documents"))
 
 
+def op12_embedding_near_dedup(spark, sf_dir):
+    return embedding_near_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def _stretched(docs: DataFrame) -> DataFrame:
     """``doc_id, text``; a tenth of the texts, by a hash of the id, repeat some of their words to the end."""
     given = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h"))
@@ -205,6 +210,7 @@ QUERIES = {
         op9_toxicity,
         op10_bpe,
         op11_source_divergence,
+        op12_embedding_near_dedup,
         op13_periodic_runs,
     )
 }
