@@ -6,6 +6,7 @@ scores of given (candidate, recent) pairs.  It may rest on latent factors, on ta
 on a stored table ``(product1, product2, score)`` in both directions with whole lists.
 """
 
+from functools import reduce
 from typing import Protocol
 
 from pyspark.sql import DataFrame
@@ -85,6 +86,20 @@ def latest_event(events: DataFrame, order=("timestamp", "productId")) -> DataFra
     )
 
 
+def _by_level(sim: Similarity, wanted: DataFrame) -> DataFrame:
+    """Lists of ``product1``, those that need about the same depth (``level``) asked for together.
+
+    A user who rated very many products so deepens the list of one trigger, not of all.  There are
+    no more levels than a number has binary digits.
+    """
+    levels = wanted.groupBy("level").agg(F.max("most")).collect()
+    parts = [
+        sim.neighbours(wanted.where(F.col("level") == level).select(F.col("product1").alias("productId")), most)
+        for level, most in levels or [(0, 1)]
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def candidates(
     triggers: DataFrame,
     rated: DataFrame,
@@ -108,13 +123,16 @@ def candidates(
         users.join(depth, "userId", "left").withColumn("depth", F.coalesce("n_seen", F.lit(0)) + k),
         "triggers",
     )
-    deepest = bounded.agg(F.max("depth")).first()[0] or k
     # Lists are cut to what some user of the trigger needs before they meet the users.
-    wanted = bounded.groupBy("product1").agg(F.max("depth").alias("most"))
+    wanted = shared.stage(
+        bounded.groupBy("product1")
+        .agg(F.max("depth").alias("most"))
+        .withColumn("level", F.ceil(F.log2(F.col("most") / k)).cast("int")),
+        "wanted",
+    )
     lists = (
-        _similarity(sim)
-        .neighbours(wanted.select(F.col("product1").alias("productId")), deepest)
-        .join(wanted, "product1")
+        _by_level(_similarity(sim), wanted)
+        .join(wanted.drop("level"), "product1")
         .where(F.col("place") <= F.col("most"))
         .drop("most")
     )

@@ -26,7 +26,7 @@ from basketry.operators import (
 from basketry.plans import jobs
 from basketry.sinks import tables as sink
 from basketry.sources import files, streams, tables, warehouse
-from basketry.streaming import log_filter, recent_queue
+from basketry.streaming import live_state, log_filter, recent_queue, run
 from basketry.streaming.online import OnlineRecommender, current_rows
 
 _EVENT_ORDER = ("ts", "event_id")
@@ -420,6 +420,16 @@ def stream_recent_queue(spark, sf_dir):
     )
 
 
+def state_recent_queue(spark, sf_dir):
+    """The same queue, read from the state of a query that writes no table."""
+    folder = shared.run_dir(spark, "queue-state")
+    stream = recent_queue.queue_stream(_ordered_event_stream(spark, sf_dir))
+    with recent_queue.keyed_state(spark):
+        writer = stream.writeStream.outputMode("update").format("noop")
+        run.start(writer, f"{folder}/checkpoint", once=True).awaitTermination()
+    return live_state.queue_in_state(spark, f"{folder}/checkpoint")
+
+
 # Online recommendation ------------------------------------------------------------------
 
 
@@ -758,6 +768,7 @@ QUERIES = {
         log_filter_batch,
         stream_log_filter,
         stream_recent_queue,
+        state_recent_queue,
         latest_events,
         online_candidates,
         online_scores,

@@ -9,7 +9,8 @@ from basketry import settings, shared
 from basketry.operators import online, ranking
 from basketry.sinks.tables import batches, fold_batches, write_batch
 from basketry.streaming import run
-from basketry.streaming.recent_queue import EVENT_COLUMNS, keyed_state, queue_stream
+from basketry.streaming.live_state import live_stream
+from basketry.streaming.recent_queue import EVENT_COLUMNS, keyed_state
 
 RATING_UPDATES = "RatingUpdates"
 _UPDATES_SCHEMA = "userId bigint, order1 bigint, order2 bigint, productId bigint, score double"
@@ -21,16 +22,14 @@ class OnlineRecommender:
 
     ``start_updates`` writes the events of batch ``n`` to ``RatingUpdates/batch=n``, map-only;
     ``jobs.merge_updates_job`` merges and removes them.  ``start`` keeps
-    the queues as keyed state, joins and scores in ``foreachBatch`` and writes the lists of
-    batch ``n`` to ``StreamRecs/batch=n``; a repeated batch replaces its folder, and no
+    queues and rated products as keyed state, joins and scores in ``foreachBatch`` and writes the
+    lists of batch ``n`` to ``StreamRecs/batch=n``; a repeated batch replaces its folder, and no
     batch rewrites what earlier ones wrote; now and then old folders are folded into one.
     Tables staged for a batch are removed at its end.
 
-    A product counts as rated if it is in the rating table, in the updates or in the queue,
-    so the lists stay right while the updates query is a batch behind.
-
-    ``load_similarity`` and ``load_rated`` are called in every batch: a refreshed
-    similarity table, or updates merged into the rating table, are seen at once.
+    ``load_rated`` gives the rated products that the state of a new checkpoint starts with; after
+    that a product counts as rated when an event says so, and no batch reads the rating table.
+    ``load_similarity`` is called in every batch, so a refreshed similarity table is seen at once.
     """
 
     def __init__(
@@ -52,18 +51,18 @@ class OnlineRecommender:
         return run.start(writer, checkpoint, once)
 
     def start(self, events: DataFrame, checkpoint: str, once: bool = False):
-        writer = queue_stream(events).writeStream.outputMode("update").foreachBatch(self.process)
+        live = live_stream(events, self.load_rated())
+        writer = live.writeStream.outputMode("update").foreachBatch(self.process)
         with keyed_state(self.spark):
             return run.start(writer, checkpoint, once)
 
-    def process(self, queue_rows: DataFrame, batch_id: int) -> None:
+    def process(self, state_rows: DataFrame, batch_id: int) -> None:
+        """Lists of the users of a batch, from their queues (ranked rows) and rated products (all rows)."""
         with shared.scratch(self.spark):
-            queues = shared.stage(queue_rows, "queues")
-            triggers = queues.where(F.col("rank") == 1).select("userId", "productId")
-            recents = queues.where(F.col("rank") <= settings.N_RECENT)
-            rated = self.load_rated().select("userId", "productId")
-            for more in (self.rating_updates(), queues):
-                rated = rated.unionByName(more.select("userId", "productId"))
+            state = shared.stage(state_rows, "state")
+            triggers = state.where(F.col("rank") == 1).select("userId", "productId")
+            recents = state.where(F.col("rank") <= settings.N_RECENT)
+            rated = state.select("userId", "productId")
             recs = online.recommend(triggers, recents, rated, self.load_similarity())
             write_batch(recs, self.root, settings.STREAM_RECS, batch_id)
         if batch_id % self.fold_every == 0:

@@ -315,6 +315,7 @@ FROM rating_events GROUP BY productId""",
         "log_filter_batch": _with(EVENTS) + _LOG_EVENTS,
         "stream_log_filter": _with(EVENTS) + _LOG_EVENTS.replace("event_id, ", ""),
         "stream_recent_queue": _with(EVENTS, QUEUE) + queue_rows,
+        "state_recent_queue": _with(EVENTS, QUEUE) + queue_rows,
         "latest_events": _with(EVENTS)
         + """SELECT userId, productId, score, "timestamp", event_id FROM (
   SELECT *, row_number() OVER (PARTITION BY userId ORDER BY ts DESC, event_id DESC) AS place

@@ -143,3 +143,23 @@ def test_pages_give_back_ranks_of_whole_lists(spark, rows):
     found = ranking.unpack_pages(pages, "product1", 10)
     expected = [(1, p + 1, p) for p in range(25)] + [(2, 1, 5)]
     assert rows(found, "product1", "rank", "productId") == expected
+
+
+def test_a_user_with_many_ratings_deepens_one_list_only(spark):
+    """Lists are asked for by the depth that their own trigger needs."""
+    asked = []
+
+    class Lists(online.StoredLists):
+        def neighbours(self, products, k):
+            asked.append((sorted(r.productId for r in products.collect()), k))
+            return super().neighbours(products, k)
+
+    sim = spark.range(2000).selectExpr("cast(1 + id % 2 as int) AS product1", "id + 10 AS product2", "1 / (id + 1.0) AS score")
+    triggers = spark.createDataFrame([(1, 1), (2, 2), (3, 9)], "userId int, productId int")
+    rated = spark.range(900).selectExpr("1 AS userId", "2 * id + 10 AS productId").unionByName(
+        spark.createDataFrame([(2, 11), (2, 13)], "userId int, productId bigint")
+    )
+    found = online.candidates(triggers, rated, Lists(sim), 5).collect()
+    assert dict((tuple(p), k) for p, k in asked) == {(1,): 905, (2,): 7, (9,): 5}
+    by_user = {u: [r.candidate for r in sorted(found, key=lambda r: r.rank) if r.userId == u] for u in (1, 2, 3)}
+    assert by_user == {1: [1810, 1812, 1814, 1816, 1818], 2: [15, 17, 19, 21, 23], 3: []}

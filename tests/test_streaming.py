@@ -9,7 +9,7 @@ from basketry import shared
 from basketry.operators import online, ratings
 from basketry.sinks import tables
 from basketry.sources import streams
-from basketry.streaming import log_filter, recent_queue
+from basketry.streaming import live_state, log_filter, recent_queue
 from basketry.streaming.online import OnlineRecommender
 
 EVENTS = "userId int, productId int, score double, order1 bigint, order2 bigint"
@@ -209,3 +209,62 @@ def test_batches_leave_no_staged_tables(spark, tmp_path):
     assert set(staged.glob("*")) == before
     assert len(tables.batches(spark, str(tmp_path / "out"), "StreamRecs")) <= 3
     assert {r["userId"] for r in recommender.current_rows().collect()} == {0, 1, 2}
+
+
+def test_state_starts_from_the_table_and_batches_read_none(spark, tmp_path, event_folder):
+    """Also over a restart, and with users and products that only the table has."""
+    folder, add = event_folder
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(len(batch))
+            yield batch
+
+    pairs = [(u, p) for u in range(4) for p in range(100, 100 + 40 * u)]
+    base = spark.createDataFrame(pairs, "userId bigint, productId bigint")
+    near = [(1, 2, 0.9), (1, 100, 0.8), (1, 7, 0.7)]
+    sim = spark.createDataFrame(near + [(b, a, s) for a, b, s in near], "product1 int, product2 int, score double")
+    recommender = OnlineRecommender(
+        spark, str(tmp_path / "out"), lambda: sim, lambda: base.mapInPandas(counted, base.schema)
+    )
+    seen = set(pairs)
+    for batch in ([(1, 1, 5.0, 1, 1), (3, 7, 4.0, 1, 2)], [(1, 1, 2.0, 2, 1)], [(1, 5, 5.0, 3, 1), (1, 1, 5.0, 4, 1)]):
+        add(batch)
+        seen |= {e[:2] for e in batch}
+        recommender.start(event_stream(spark, folder), str(tmp_path / "cp"), once=True).awaitTermination()
+        assert reads.value == len(pairs)
+        held = [tuple(r) for r in live_state.rated_in_state(spark, str(tmp_path / "cp")).collect()]
+        assert len(held) == len(set(held)) and set(held) == seen
+        # 100 is rated by user 1 in the table only.
+        recs = {r.userId: {x.productId for x in r.recs} for r in recommender.current_recs().collect()}
+        assert recs[1] == {2, 7}
+
+
+def test_pages_of_a_user_with_many_rated_products(spark, tmp_path, event_folder, monkeypatch):
+    folder, add = event_folder
+    base = spark.range(2 * live_state.PAGE + 5).selectExpr("1L AS userId", "id AS productId")
+    out = []
+    for batch in ([(1, 5_000, 1.0, 1, 1)], [(1, p, 1.0, 2, p) for p in range(6_000, 7_500)]):
+        add(batch)
+        writer = live_state.live_stream(event_stream(spark, folder), base).writeStream.outputMode("update")
+        writer = writer.foreachBatch(lambda df, _: out.append(df.where("rank IS NULL").count()))
+        with recent_queue.keyed_state(spark):
+            writer.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+    assert out == [2 * live_state.PAGE + 6, 2 * live_state.PAGE + 1506]
+
+
+def test_queue_read_from_the_state_of_any_batch(spark, tmp_path, rows, event_folder):
+    folder, add = event_folder
+    columns = ("userId", "rank", "productId", "score")
+    seen, expected = [], []
+    for batch in event_batches()[:2]:
+        add(batch)
+        seen += batch
+        expected.append(rows(ratings.recent_queue(spark.createDataFrame(seen, EVENTS), ("order1", "order2")), *columns))
+    stream = recent_queue.queue_stream(event_stream(spark, folder))
+    with recent_queue.keyed_state(spark):
+        writer = stream.writeStream.outputMode("update").format("noop")
+        writer.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+    for number, queue in enumerate(expected):
+        assert rows(live_state.queue_in_state(spark, str(tmp_path / "cp"), number), *columns) == queue
