@@ -24,6 +24,7 @@ from basketry.operators import (
     statistics,
 )
 from basketry.plans import jobs
+from basketry.sinks import grid
 from basketry.sinks import tables as sink
 from basketry.sources import files, streams, tables, warehouse
 from basketry.streaming import live_state, log_filter, recent_queue, run
@@ -365,10 +366,42 @@ def load_ratings(spark, sf_dir):
     lines = warehouse.ratings(spark, sf_dir).select(F.concat_ws(",", *fields))
     lines.write.text(f"{folder}/ratings")
     read = files.read_ratings(spark, f"{folder}/ratings")
-    sink.overwrite_clustered(read, folder, settings.RATING, "productId", "userId")
+    grid.write(read, folder, settings.RATING)
     return tables.read_table(spark, folder, settings.RATING, schemas.RATING)
 
 
+def rating_merge(spark, sf_dir):
+    """The upsert of a stored table, cell by cell: only cells with an event are read and written."""
+    folder = shared.run_dir(spark, "merge")
+    grid.write(_base_ratings(spark, sf_dir), folder, settings.RATING)
+    grid.merge(
+        spark,
+        folder,
+        settings.RATING,
+        warehouse.rating_events(spark, sf_dir),
+        lambda base, events: ratings.upsert(base, events, _EVENT_ORDER),
+    )
+    return tables.read_table(spark, folder, settings.RATING, schemas.RATING)
+
+
+def rating_lookup(spark, sf_dir):
+    """Ratings by the customers of one nation, and of the smallest parts, from the cells they are in."""
+    folder = shared.run_dir(spark, "lookup")
+    grid.write(warehouse.ratings(spark, sf_dir), folder, settings.RATING)
+    users = warehouse.table(spark, sf_dir, "customer").where("c_nationkey = 7")
+    parts = warehouse.table(spark, sf_dir, "part").where("p_size = 1")
+    asked = {
+        "userId": users.select(F.col("c_custkey").alias("userId")),
+        "productId": parts.select(F.col("p_partkey").alias("productId")),
+    }
+    found = [
+        grid.lookup(spark, folder, settings.RATING, requests, key)
+        .select(F.lit(key).alias("by"), "userId", "productId", "score", "timestamp")
+        for key, requests in asked.items()
+    ]
+    return found[0].unionByName(found[1])
+
+
 # Logs and streams -----------------------------------------------------------------------
 
 
@@ -754,6 +787,8 @@ QUERIES = {
         content_stored_lookup,
         dense_similar,
         rating_upsert,
+        rating_merge,
+        rating_lookup,
         recent_queue_batch,
         recent_queue_items,
         score_halving,

@@ -288,6 +288,12 @@ SELECT a.id AS product1, b.id AS product2, round(list_cosine_similarity(a.v, b.v
 FROM vectors a JOIN vectors b ON a.id <> b.id
 WHERE list_cosine_similarity(a.v, b.v) > 0.4""",
         "rating_upsert": _with(RATINGS, EVENTS, BASE, _upsert("rating_events")),
+        "rating_merge": _with(RATINGS, EVENTS, BASE, _upsert("rating_events")),
+        "rating_lookup": _with(RATINGS)
+        + """SELECT 'userId' AS "by", userId, productId, score, "timestamp" FROM ratings
+JOIN customer ON c_custkey = userId WHERE c_nationkey = 7
+UNION ALL SELECT 'productId', userId, productId, score, "timestamp" FROM ratings
+JOIN part ON p_partkey = productId WHERE p_size = 1""",
         "recent_queue_batch": _with(EVENTS, QUEUE) + queue_rows,
         "recent_queue_items": _with(EVENTS, QUEUE) + queue_rows + " WHERE rank <= 21",
         "score_halving": _with(EVENTS, RATE_REQUESTS) + "SELECT event_id, score FROM rate_requests",
