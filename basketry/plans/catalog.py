@@ -15,9 +15,9 @@ from basketry.operators import (
     als,
     blend,
     content,
-    dense,
     itemcf,
     online,
+    pruned,
     ranking,
     ratings,
     serving,
@@ -256,7 +256,7 @@ def content_stored_lookup(spark, sf_dir):
 
 
 def dense_similar(spark, sf_dir):
-    return _rounded(dense.dense_similarity(warehouse.dense_vectors(spark, sf_dir)))
+    return _rounded(pruned.similar(warehouse.dense_vectors(spark, sf_dir)))
 
 
 # Rating maintenance ---------------------------------------------------------------------

@@ -58,3 +58,5 @@ TILE_TERMS = 1_000_000  # ... and at most so many terms in them
 PAGE_SIZE = 1000  # recommendations in one page of an unbounded list
 CELL_ROWS = 20_000_000  # rows in a cell of the rating table, at most, about
 FILE_ROWS = 5_000_000  # rows in one of its files
+PIVOTS = 512  # vectors that dense groups form around, at most
+LENGTH_RANGES = 16  # ranges of item length in top-k inner products
