@@ -89,8 +89,8 @@ def latest_event(events: DataFrame, order=("timestamp", "productId")) -> DataFra
 def _by_level(sim: Similarity, wanted: DataFrame) -> DataFrame:
     """Lists of ``product1``, those that need about the same depth (``level``) asked for together.
 
-    A user who rated very many products so deepens the list of one trigger, not of all.  There are
-    no more levels than a number has binary digits.
+    A user who rated very many products so deepens the list of few triggers, not of all.  A level is
+    sixteen times as deep as the one before, so there are a handful at most.
     """
     levels = wanted.groupBy("level").agg(F.max("most")).collect()
     parts = [
@@ -127,7 +127,7 @@ def candidates(
     wanted = shared.stage(
         bounded.groupBy("product1")
         .agg(F.max("depth").alias("most"))
-        .withColumn("level", F.ceil(F.log2(F.col("most") / k)).cast("int")),
+        .withColumn("level", F.greatest(F.ceil(F.log2(F.col("most") / k) / 4 - 1), F.lit(0)).cast("int")),
         "wanted",
     )
     lists = (

@@ -18,7 +18,7 @@ EVENT_COLUMNS = ("userId", "order1", "order2", "productId", "score")
 OUTPUT = "userId bigint, rank int, productId bigint, score double, order1 bigint, order2 bigint"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_ENTRIES = "entries array<struct<order1:bigint,order2:bigint,productId:bigint,score:double>>"
+ENTRIES = "entries array<struct<order1:bigint,order2:bigint,productId:bigint,score:double>>"
 
 
 def _newest(rows: pd.DataFrame, size: int) -> pd.DataFrame:
@@ -41,7 +41,7 @@ class QueueProcessor(StatefulProcessor):
         self.size = size
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.queue = handle.getValueState("queue", _ENTRIES)
+        self.queue = handle.getValueState("queue", ENTRIES)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
         held = [tuple(e) for e in self.queue.get()[0]] if self.queue.exists() else []
