@@ -195,8 +195,13 @@ def _groups(texts: DataFrame) -> DataFrame:
     return buckets.join(centres, "key").where("id <> centre").select("centre", "id").distinct()
 
 
-def links(groups: DataFrame, docs: DataFrame, least: float = SIMILARITY, block: int = BLOCK) -> DataFrame:
-    """``a, b``: a forest that connects the texts whose verified links connect them."""
+def links(
+    groups: DataFrame, docs: DataFrame, own: DataFrame, least: float = SIMILARITY, block: int = BLOCK
+) -> DataFrame:
+    """``a, b``: a forest that connects the texts whose verified links connect them.
+
+    ``own`` has the ``digest`` of the text that each ``doc_id`` stands for.
+    """
     kind = words.kind_of(groups, "id")
     sizes = groups.groupBy("centre").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     members = groups.join(sizes, "centre").withColumn(
@@ -214,8 +219,10 @@ def links(groups: DataFrame, docs: DataFrame, least: float = SIMILARITY, block:
         ),
         "blocks",
     )
-    needed = placed.select(F.col("id").alias("doc_id")).distinct()
-    sets = shared.stage(_pack(docs.join(needed, "doc_id", "left_semi")), "sets")
+    needed = placed.select(F.col("id").alias("doc_id")).distinct().join(own, "doc_id")
+    digest = F.unhex(F.md5(F.coalesce("text", F.lit(""))))
+    judged = docs.withColumn("digest", digest).join(needed, ["doc_id", "digest"], "left_semi")
+    sets = shared.stage(_pack(judged.select("doc_id", "text")), "sets")
 
     def inside(key, table):
         """Compare a block's texts, the centre first; say who isn't connected to it."""
@@ -340,9 +347,11 @@ def classes(
     )
     signed = shared.stage(sign(docs, bands, rows), "signatures")
     own = signed.groupBy("doc_id").agg(F.min("digest").alias("digest"))
-    texts = signed.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands"))
+    # Other texts of an id are no nodes: they would connect what only shares the id.
+    first = signed.join(own, ["doc_id", "digest"], "left_semi")
+    texts = first.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands"))
     groups = shared.stage(_groups(texts), "groups")
-    found = components(links(groups, docs, least, block))
+    found = components(links(groups, docs, own, least, block))
     named = texts.select("digest", "id").join(found, "id", "left").select(
         "digest", F.col("id").alias("text_id"), F.coalesce("class", "id").alias("class_id")
     )

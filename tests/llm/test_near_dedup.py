@@ -1,5 +1,6 @@
 """Near-duplicate classes against brute force."""
 
+import hashlib
 import itertools
 import random
 from collections import defaultdict
@@ -119,3 +120,16 @@ def test_texts_without_repeats_have_the_same_bands_either_way():
     keys = near_dedup.candidate_keys(sets, 32, 4)
     weighted = near_dedup.band_keys(near_dedup.signatures(sets, 128)).tolist()
     assert keys[0] == weighted[0] and keys[1][:32] == weighted[1] and len(keys[1]) > 32
+
+
+def test_two_texts_of_one_id_join_no_classes(spark):
+    """The second text of id 1 is like that of id 3, but id 1 stands for its first."""
+    a, b = (" ".join(f"{x}{i}" for i in range(200)) for x in "ab")
+    for swapped in (False, True):
+        first, second = (b, a) if swapped else (a, b)
+        rows = [(1, first), (2, first + " x"), (1, second), (3, second + " y")]
+        found = near_dedup.classes(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+        # The text of the smaller digest counts.
+        smaller = min((first, second), key=lambda t: hashlib.md5(t.encode()).digest())
+        partner = next(i for i, t in rows[1::2] if t.startswith(smaller))
+        assert {r.doc_id: r.class_id for r in found} == {1: 1, 2: 2, 3: 3} | {partner: 1}
