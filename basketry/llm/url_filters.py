@@ -4,7 +4,8 @@ A list is a log of dated entries: a domain is added to a category or dropped fro
 become validity intervals, and every capture is judged by the entries that were active when it
 was fetched, for its host and all domains above it.  Captures are first reduced to distinct
 hosts and days, so a host with a third of all captures costs one row a day; the join is an
-equality of domains with a range of days.  Everything runs as DataFrame functions.
+equality of domains with a range of days.  Of the domains above a host only those are looked up
+that have as many labels as some listed domain, however many labels the host has.  Everything runs as DataFrame functions.
 
 Defined results: a null or hostless url and a null fetch day match nothing; an entry with a null
 domain, day or category is ignored; if a domain is added and dropped on one day, it is dropped;
@@ -14,9 +15,6 @@ an entry holds from its own day on; repeated captures and entries change nothing
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Labels of the longest name under which a host is looked up.
-MAX_LABELS = 127
-
 
 def host_of(url: F.Column) -> F.Column:
     """Lower-case host without user, port and final dot; null if there is none."""
@@ -25,15 +23,21 @@ def host_of(url: F.Column) -> F.Column:
     return F.when(host != "", host)
 
 
-def domains_of(host: F.Column) -> F.Column:
-    """The host and the domains above it that have two labels or more."""
+def depths_of(entries: DataFrame) -> list[int]:
+    """How many labels the listed domains have, each number once.
+
+    A list with n such numbers has n * n / 2 labels at least, so they are few however long it is.
+    """
+    size = F.size(F.split("domain", r"\."))
+    return sorted(r[0] for r in entries.where("domain IS NOT NULL").select(size).distinct().collect())
+
+
+def domains_of(host: F.Column, depths: list[int]) -> F.Column:
+    """The host and the domains above it that have two labels or more and as many as a listed one."""
     labels = F.split(host, r"\.")
-    n = F.least(F.size(labels), F.lit(MAX_LABELS))
-    above = F.transform(
-        F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))),
-        lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
-    )
-    return F.when(host.isNotNull(), above)
+    n = F.size(labels)
+    fitting = F.filter(F.lit(depths), lambda d: (d <= n) & ((d > 1) | (n == 1)))
+    return F.when(host.isNotNull(), F.transform(fitting, lambda d: F.array_join(F.slice(labels, -d, d), ".")))
 
 
 def intervals(entries: DataFrame) -> DataFrame:
@@ -65,7 +69,8 @@ def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """
     captures = captures.withColumn("host", host_of(F.col("url")))
     visits = captures.select("host", "fetched").dropna().distinct()
-    names = visits.withColumn("domain", F.explode(domains_of(F.col("host"))))
+    depths = depths_of(entries) or [1]
+    names = visits.withColumn("domain", F.explode(domains_of(F.col("host"), depths)))
     active = intervals(entries)
     hits = names.join(
         active,

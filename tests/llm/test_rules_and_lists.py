@@ -98,6 +98,20 @@ def test_odd_captures(spark):
     assert judged(spark, []) == {}
 
 
+def test_hosts_of_many_labels(spark):
+    day = date(2024, 2, 1)
+    many = "a." * 300
+    entries = spark.createDataFrame(
+        [("evil.example", "spam", day, "add"), (many + "long.example", "long", day, "add"), ("example", "top", day, "add")],
+        "domain string, category string, day date, action string",
+    )
+    hosts = [many + "evil.example", many + "long.example", "b." + many + "long.example", many[2:] + "long.example", "example"]
+    rows = spark.createDataFrame([(f"http://{h}/", day) for h in hosts], "url string, fetched date")
+    got = {r.host: r.categories for r in url_filters.judge(rows, entries).collect()}
+    assert got == dict(zip(hosts, ["spam", "long", "long", "", "top"], strict=True))
+    assert {r.blocked for r in url_filters.judge(rows, entries.limit(0)).collect()} == {False}
+
+
 def words_of(text):
     low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
