@@ -37,6 +37,7 @@ _STEPS_PER_DOUBLING = 4
 _NEVER = 255
 #: Pairs, which are most of the keys, travel with 56 bits of their hash; single tokens with all.
 _PAIR_BITS = np.uint64(0xFFFFFFFFFFFFFF00)
+_LOW = 0xFFFFFFFF
 
 _ASK = "part int, bucket int, size int, keys binary, counts binary, deleted binary, known bigint"
 _ASK_SCHEMA = pa.schema(
@@ -107,7 +108,10 @@ def _ask(part: _Part, bits: int) -> pa.Table:
 
 
 def _answer(table: pa.Table) -> pa.Table:
-    """Total counts for each part; the first part also gets the number of known tokens."""
+    """Total counts for each part; the first part also gets the number of known tokens.
+
+    Where a count needs more than 32 bits, the upper halves of both columns stand in ``keys``.
+    """
     keys = [packed.unpack(x) for x in table["keys"].to_pylist()]
     every = np.concatenate(keys)
     order = np.argsort(every, kind="stable")
@@ -121,18 +125,20 @@ def _answer(table: pa.Table) -> pa.Table:
             known = int((summed > 0).sum())
         total = np.empty(len(every), np.int64)
         total[order] = np.repeat(summed, sizes)
-        totals.append(np.minimum(total, np.iinfo(np.uint32).max).astype(np.uint32))
+        totals.append(total)
     rows, at = [], 0
     for i, own in enumerate(keys):
         until = at + len(own)
+        low = [(t[at:until] & _LOW).astype(np.uint32) for t in totals]
+        high = np.concatenate([(t[at:until] >> 32).astype(np.uint32) for t in totals])
         rows.append(
             (
                 table["part"][i].as_py(),
                 table["bucket"][i].as_py(),
                 table["size"][i].as_py(),
-                b"",
-                packed.planes(totals[0][at:until]),
-                packed.planes(totals[1][at:until]),
+                packed.planes(high) if high.any() else b"",
+                packed.planes(low[0]),
+                packed.planes(low[1]),
                 0 if i else known,
             )
         )
@@ -146,6 +152,15 @@ _COUNTED = (
 )
 
 
+def _narrow(counts: np.ndarray) -> bytes:
+    """A document's counts in four bytes each, or eight where one needs them."""
+    return packed.planes(counts.astype(np.uint32) if counts.max() <= _LOW else counts)
+
+
+def _widened(data: bytes, n_tokens: int) -> np.ndarray:
+    return packed.from_planes(data, np.dtype(f"u{len(data) // n_tokens}"))
+
+
 def _context(single: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Counts of the tokens before; the start of a text is as frequent as ends are."""
     before = np.empty_like(single)
@@ -173,8 +188,13 @@ def _counted(part: _Part, answers: pa.Table, kind: pa.DataType) -> pa.Table:
     for size, keys in enumerate(part.keys, 1):
         own = answers.filter(pa.compute.equal(answers["size"], size))
         distinct, inverse = np.unique(keys, return_inverse=True)
-        for name in ("counts", "deleted"):
+        upper = own["keys"].to_pylist()
+        for half, name in enumerate(("counts", "deleted")):
             told = [packed.from_planes(x, np.uint32) for x in own[name].to_pylist()]
+            for i, high in enumerate(upper):
+                if high:
+                    halves = np.split(packed.from_planes(high, np.uint32), 2)
+                    told[i] = told[i] + (halves[half].astype(np.uint64) << np.uint64(32))
             total = np.concatenate(told) if told else np.zeros(0, np.uint32)
             if len(total) != len(distinct):
                 raise ValueError("a part was answered for other tokens than it asked for")
@@ -200,8 +220,8 @@ def _counted(part: _Part, answers: pa.Table, kind: pa.DataType) -> pa.Table:
             "n_tokens": pa.array(part.sizes, pa.int64()),
             "n_known": pa.array(np.add.reduceat(single > 0, first, dtype=np.int64)),
             "log_counts": pa.array(np.add.reduceat(logs, first)),
-            "single": pa.array([packed.planes(x) for x in np.split(single, part.first[1:-1])], pa.binary()),
-            "pair": pa.array([packed.planes(x) for x in np.split(pair, part.first[1:-1])], pa.binary()),
+            "single": pa.array([_narrow(x) for x in np.split(single, part.first[1:-1])], pa.binary()),
+            "pair": pa.array([_narrow(x) for x in np.split(pair, part.first[1:-1])], pa.binary()),
             "known": pa.nulls(n, pa.int64()),
             "cell": pa.nulls(n, pa.int32()),
             "cell_count": pa.nulls(n, pa.int64()),
@@ -292,8 +312,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         even = 1.0 / (vocabulary + 1)
         for batch in batches:
             sums = []
-            for single, pair in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True):
-                single, pair = packed.from_planes(single, np.uint32), packed.from_planes(pair, np.uint32)
+            columns = (batch.column(i).to_pylist() for i in (2, 4, 5))
+            for n, single, pair in zip(*columns, strict=True):
+                single, pair = _widened(single, n), _widened(pair, n)
                 context = _context(single, np.array([0, len(single)]))
                 own = weights[np.log2(context + 1.0).astype(np.int64)]
                 mixed = own[:, 0] * even + own[:, 1] * (single / max(tokens, 1))

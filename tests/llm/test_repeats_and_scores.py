@@ -5,6 +5,8 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from samples import plain_words
 
@@ -131,6 +133,29 @@ def test_probabilities_sum_to_one_and_score_is_their_product(spark):
         assert math.isclose(r.score, expected, abs_tol=1e-6)
 
 
+def test_counts_beyond_32_bits():
+    docs = pa.table({"part": [0, 0], "doc_id": [1, 2], "text": ["a b a", "c"], "fold": [0, 0]})
+    part = lm_scoring._Part(docs.set_column(0, "part", pa.array([0, 0], pa.int32())))
+    own = lm_scoring._ask(part, 1)
+    most = 2**32 - 1
+    full = [packed.planes(np.full(len(packed.unpack(k)), most, np.uint32)) for k in own["keys"].to_pylist()]
+    other = own.set_column(0, "part", pa.array([1] * len(own), pa.int32()))
+    other = other.set_column(4, "counts", pa.array(full, pa.binary()))
+    both = pa.concat_tables([own, other]).to_pylist()
+    answers = []
+    for key in {(r["bucket"], r["size"]) for r in both}:
+        rows = [r for r in both if (r["bucket"], r["size"]) == key]
+        answers.append(lm_scoring._answer(pa.Table.from_pylist(rows, own.schema)))
+    told = pa.concat_tables(answers)
+    counted = lm_scoring._counted(part, told.filter(pc.equal(told["part"], 0)), pa.int64()).to_pylist()
+    sizes = {1: 4, 2: 2}
+    expected = {1: [2, 1, 2, 2], 2: [1, 2]}
+    for row in counted[:2]:
+        got = lm_scoring._widened(row["single"], sizes[row["doc_id"]])
+        assert got.tolist() == [most + n for n in expected[row["doc_id"]]]
+        assert math.isclose(row["log_counts"], sum(math.log10(most + n + 0.5) for n in expected[row["doc_id"]]))
+
+
 def test_weights_follow_the_held_out_cells():
     never, often = lm_scoring._NEVER, 5 << 16
     always_pair = [(often | 0 << 8 | never, 1000)]
