@@ -22,6 +22,18 @@ def test_article_without_its_surroundings():
     assert html_extraction.text_lines(html) == (["Head line", "One <two> three four", "five & six"], True)
 
 
+def test_an_article_beside_a_longer_story_is_a_card():
+    story = [f"Paragraph {i} of the story, of some length." for i in range(20)]
+    page = "<div class='story'>" + "".join(f"<p>{x}</p>" for x in story) + "</div>"
+    card = "<article><h3>Another story</h3></article>"
+    assert html_extraction.text_lines(page + card) == ([*story, "Another story"], False)
+
+
+def test_many_equal_lines_are_aligned_at_once():
+    equal = ["same"] * 30_000
+    assert html_extraction.common(equal, equal[:-1]) == {*range(29_999)}
+
+
 def test_unclosed_elements_and_empty_pages():
     assert html_extraction.text_lines("<nav><ul><li>a<article><p>b") == (["b"], True)
     assert html_extraction.text_lines("<head><title>t</title><p>x") == (["x"], False)
