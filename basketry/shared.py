@@ -75,8 +75,11 @@ def send(spark: SparkSession, value):
 
 
 def received(sent):
-    """The object of a ``send``, in a task."""
-    return cloudpickle.loads(sent.value)
+    """The object of a ``send``, in a task; a Python worker makes it once for all its tasks."""
+    held = vars(sent)
+    if "received" not in held:
+        held["received"] = cloudpickle.loads(sent.value)
+    return held["received"]
 
 
 def use_checkpoints(spark: SparkSession) -> None:
