@@ -23,6 +23,11 @@ def normalise_epoch(ts, unit: str = "s") -> Column:
     return F.floor(_col(ts).cast("bigint") / F.lit(per_second)).cast("bigint")
 
 
+def epoch_now() -> Column:
+    """Whole seconds since 1970 at the start of the query; one value for all its rows."""
+    return F.unix_timestamp(F.current_timestamp())
+
+
 def change_date(epoch, zone: str = "UTC") -> Column:
     """``yyyyMM`` as an int, in an explicit zone."""
     epoch = _col(epoch).cast("bigint")

@@ -63,10 +63,14 @@ def statistics_in_one_scan(ratings: DataFrame, zone: str = "UTC") -> DataFrame:
     A product's months are bounded by the calendar, so they travel as one array and the
     ratings are read and shuffled once.
     """
+    return all_from_monthly(monthly_profile(ratings, zone))
+
+
+def all_from_monthly(monthly: DataFrame) -> DataFrame:
+    """As ``statistics_in_one_scan``, from the profile."""
     months = F.collect_list(F.struct("yearmonth", F.col("count").alias("month_count")))
     return (
-        monthly_profile(ratings, zone)
-        .groupBy("productId")
+        monthly.groupBy("productId")
         .agg(
             F.sum("count").alias("total_count"),
             (F.sum("score_sum") / F.sum("count")).alias("avg"),

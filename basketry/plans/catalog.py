@@ -22,12 +22,14 @@ from basketry.operators import (
     ratings,
     serving,
     statistics,
+    trending,
 )
 from basketry.plans import jobs
 from basketry.sinks import grid
 from basketry.sinks import tables as sink
 from basketry.sources import files, streams, tables, warehouse
 from basketry.streaming import live_state, log_filter, recent_queue, run
+from basketry.streaming import statistics as live_statistics
 from basketry.streaming.online import OnlineRecommender, current_rows
 
 _EVENT_ORDER = ("ts", "event_id")
@@ -463,6 +465,35 @@ def state_recent_queue(spark, sf_dir):
     return live_state.queue_in_state(spark, f"{folder}/checkpoint")
 
 
+def statistics_incremental(spark, sf_dir):
+    """Monthly and total counts and averages of ratings and streamed events, no rating read twice."""
+    root = shared.run_dir(spark, "statistics")
+    stored = shared.stage(statistics.monthly_profile(warehouse.ratings(spark, sf_dir)), "monthly")
+    events = warehouse.events_as_ratings(_event_stream(spark, sf_dir))
+    live_statistics.start_monthly(events, root, f"{root}/checkpoint", once=True).awaitTermination()
+    monthly = live_statistics.merged_monthly(stored, live_statistics.monthly_updates(spark, root))
+    return _rounded(statistics.all_from_monthly(monthly), "avg")
+
+
+def _trends(counts: DataFrame) -> DataFrame:
+    return trending.top_per_window(counts).select(
+        "window_start", "window_end", "rank", "productId", "count", "score_sum"
+    )
+
+
+def trending_windowed(spark, sf_dir):
+    """Most rated products of every sliding window of event time."""
+    return _trends(trending.windowed_counts(warehouse.rating_events(spark, sf_dir)))
+
+
+def stream_trending(spark, sf_dir):
+    """The same of the windows that a stream has closed."""
+    root = shared.run_dir(spark, "trending")
+    events = warehouse.events_as_ratings(_event_stream(spark, sf_dir))
+    live_statistics.start_trending(events, root, f"{root}/checkpoint", once=True).awaitTermination()
+    return _trends(live_statistics.closed_windows(spark, root))
+
+
 # Online recommendation ------------------------------------------------------------------
 
 
@@ -804,6 +835,9 @@ QUERIES = {
         stream_log_filter,
         stream_recent_queue,
         state_recent_queue,
+        statistics_incremental,
+        trending_windowed,
+        stream_trending,
         latest_events,
         online_candidates,
         online_scores,

@@ -22,6 +22,7 @@ ALS_REG = 0.01
 GRID_RANKS = (5, 10, 20, 50)
 GRID_REGS = (1.0, 0.1, 0.01)
 TRAIN_FRACTION = 0.8
+FITS_AT_ONCE = 4
 
 # Text formats.
 PRODUCT_SEPARATOR = "^"
@@ -43,9 +44,16 @@ PRODUCT_RECS = "ProductRecs"
 CONTENT_RECS = "ContentBasedProductRecs"
 ITEMCF_RECS = "ItemCFProductRecs"
 STREAM_RECS = "StreamRecs"
+MONTHLY = "MonthlyProfile"
+MONTHLY_UPDATES = "MonthlyProfileUpdates"
+TRENDING = "TrendingProducts"
 
 # Streaming.
 TRIGGER_INTERVAL = "5 seconds"
+TREND_WINDOW = "2 days"
+TREND_SLIDE = "12 hours"
+TREND_DELAY = "6 hours"
+TREND_TOP = 10
 FOLD_EVERY = 20  # batches after which what earlier ones wrote is put together
 
 # Execution sizes of our own; they change cost, never results.

@@ -37,6 +37,8 @@ HEADLINE = (
     "log_filter_batch",
     "stream_log_filter",
     "stream_recent_queue",
+    "statistics_incremental",
+    "trending_windowed",
     "als_user_recs",
     "als_recs_lookup",
     "content_pages",

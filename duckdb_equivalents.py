@@ -33,6 +33,13 @@ INFO = """info AS (
 MONTHLY = """monthly AS (
   SELECT productId, yearmonth, count(*) AS month_count FROM ratings GROUP BY ALL)"""
 
+# Windows of two days, one every twelve hours.
+WINDOWED = """windowed AS (
+  SELECT start AS window_start, start + 4 * 43200 AS window_end, productId, count(*) AS count, sum(score) AS score_sum
+  FROM (SELECT productId, score, unnest([("timestamp" // 43200 - k) * 43200 for k in range(4)]) AS start
+        FROM rating_events)
+  GROUP BY ALL)"""
+
 ITEMCF = """item_counts AS (SELECT productId, count(*) AS c FROM ratings GROUP BY productId),
 co AS (
   SELECT a.productId AS product1, b.productId AS product2, count(*) AS co
@@ -195,6 +202,12 @@ _LOG_EVENTS = """SELECT event_id, userId, productId, score, "timestamp" FROM rat
 WHERE event_type NOT IN ('error', 'signup')"""
 
 
+def _top_windows(counts: str) -> str:
+    return f"""SELECT * FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY window_start ORDER BY count DESC, productId) AS INT) AS rank
+  FROM {counts}) WHERE rank <= 10"""
+
+
 def oracle_sql() -> dict[str, str]:
     online = _with(RATINGS, PRODUCTS, EVENTS, CONTENT, QUEUE, ONLINE)
     served = _with(RATINGS, PRODUCTS, EVENTS, REQUESTS, AVERAGES, INFO)
@@ -230,6 +243,20 @@ FROM monthly m JOIN totals t ON m.productId = t.productId""",
   SELECT productId, count(*) AS total_count FROM ratings GROUP BY productId)
 SELECT m.productId, yearmonth, month_count, total_count
 FROM monthly m JOIN totals t ON m.productId = t.productId""",
+        "statistics_incremental": _with(RATINGS, EVENTS)
+        + """, every AS (
+  SELECT productId, yearmonth, score FROM ratings
+  UNION ALL SELECT productId, CAST(year(ts) * 100 + month(ts) AS INT), score FROM rating_events),
+totals AS (
+  SELECT productId, count(productId) AS total_count, round(avg(score), 6) AS "avg" FROM every GROUP BY productId)
+SELECT productId, yearmonth, count(productId) AS month_count, total_count, "avg"
+FROM every JOIN totals USING (productId) GROUP BY ALL""",
+        "trending_windowed": _with(EVENTS, WINDOWED) + _top_windows("windowed"),
+        "stream_trending": _with(EVENTS, WINDOWED)
+        + _top_windows(
+            """(SELECT * FROM windowed
+  WHERE window_end <= (SELECT max("timestamp") - 6 * 3600 FROM rating_events))"""
+        ),
         "distinct_ids": _with(RATINGS)
         + """SELECT DISTINCT 'user' AS kind, userId AS id FROM ratings
 UNION ALL SELECT DISTINCT 'product' AS kind, productId AS id FROM ratings""",
