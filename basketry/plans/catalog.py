@@ -20,6 +20,7 @@ from basketry.operators import (
     pruned,
     ranking,
     ratings,
+    search,
     serving,
     statistics,
     trending,
@@ -34,6 +35,8 @@ from basketry.streaming.online import OnlineRecommender, current_rows
 
 _EVENT_ORDER = ("ts", "event_id")
 _SEARCH = "red|ring$"
+# The last two promise no letter triple and scan.
+_SEARCHES = (_SEARCH, "spring.*(blush|green)", "ora?nge?", "l[aeiou]ce", "^.[aeiou]")
 
 
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -147,6 +150,40 @@ def search_products(spark, sf_dir):
     return _serving(found)
 
 
+def search_products_raw(spark, sf_dir):
+    """A pattern whose UTF-8 arrived as ISO-8859-1."""
+    products = warehouse.products(spark, sf_dir)
+    query = f"{_SEARCH}|é".encode().decode("iso-8859-1")
+    return _serving(serving.search_products_raw(products, _averages(spark, sf_dir), query))
+
+
+def _stored_triples(spark, sf_dir) -> tuple[DataFrame, ...]:
+    root = shared.run_dir(spark, "search")
+    sink.overwrite_clustered(warehouse.products(spark, sf_dir), root, settings.PRODUCT, "productId")
+    jobs.search_index_job(spark, root)
+    return tuple(
+        tables.read_table(spark, root, name)
+        for name in (settings.PRODUCT, settings.TRIPLES, settings.TRIPLE_COUNTS)
+    )
+
+
+def search_triples(spark, sf_dir):
+    """The search index: how many products have each letter triple in their name."""
+    return _stored_triples(spark, sf_dir)[2]
+
+
+def search_products_indexed(spark, sf_dir):
+    """Several patterns by the stored index."""
+    products, posted, counts = _stored_triples(spark, sf_dir)
+    found = [
+        search.matching(products, posted, counts, pattern).withColumn("pattern", F.lit(pattern))
+        for pattern in _SEARCHES
+    ]
+    named = shared.stage(reduce(DataFrame.unionByName, found), "found")
+    averages = _averages(spark, sf_dir, named.select("productId").distinct())
+    return _serving(serving.with_average(named, averages), "pattern")
+
+
 # Item-CF --------------------------------------------------------------------------------
 
 
@@ -804,6 +841,9 @@ QUERIES = {
         most_rated_products,
         product_info,
         search_products,
+        search_products_raw,
+        search_triples,
+        search_products_indexed,
         itemcf_pairs,
         itemcf_top10,
         itemcf_recs,

@@ -47,6 +47,8 @@ STREAM_RECS = "StreamRecs"
 MONTHLY = "MonthlyProfile"
 MONTHLY_UPDATES = "MonthlyProfileUpdates"
 TRENDING = "TrendingProducts"
+TRIPLES = "ProductNameTriples"
+TRIPLE_COUNTS = "ProductNameTripleCounts"
 
 # Streaming.
 TRIGGER_INTERVAL = "5 seconds"
@@ -68,5 +70,6 @@ CELL_ROWS = 20_000_000  # rows in a cell of the rating table, at most, about
 FILE_ROWS = 5_000_000  # rows in one of its files
 PIVOTS = 512  # vectors that dense groups form around, at most
 LENGTH_RANGES = 16  # ranges of item length in top-k inner products
+SEARCH_TRIPLES = 3  # rarest letter triples of a pattern that are looked up
 PRUNE_FROM = 8  # blocks of dense vectors from which it pays to look for what can be skipped
 LIVE_SHARDS = 1024  # groups of users in the state of the live path; fixed as long as a checkpoint lives

@@ -275,6 +275,18 @@ JOIN info i ON m.productId = i.productId""",
         + f"SELECT {_SERVED} FROM info WHERE productId IN (SELECT productId FROM requests)",
         "search_products": served
         + f"SELECT {_SERVED} FROM info WHERE regexp_matches(name, 'red|ring$')",
+        "search_products_raw": served
+        + f"SELECT {_SERVED} FROM info WHERE regexp_matches(name, 'red|ring$|é')",
+        "search_triples": _with(PRODUCTS)
+        + """SELECT triple, count(DISTINCT productId) AS "count"
+FROM (SELECT productId, unnest([substr(name, i, 3) FOR i IN range(1, length(name) - 1)]) AS triple
+      FROM products)
+GROUP BY triple""",
+        "search_products_indexed": served
+        + f"""SELECT pattern, {_SERVED}
+FROM info JOIN (SELECT unnest(['red|ring$', 'spring.*(blush|green)', 'ora?nge?', 'l[aeiou]ce',
+                               '^.[aeiou]']) AS pattern)
+ON regexp_matches(name, pattern)""",
         "itemcf_pairs": _with(RATINGS, ITEMCF)
         + """SELECT product1, product2, co, count1, count2, round(score, 6) AS score
 FROM itemcf WHERE product1 < product2""",
