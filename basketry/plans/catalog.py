@@ -472,6 +472,19 @@ def stream_log_filter(spark, sf_dir):
     return log_filter.parse_events(payloads)
 
 
+def stream_log_tail(spark, sf_dir):
+    """Rotated log files to events; more files are rotated out while the query is down."""
+    folder = shared.run_dir(spark, "tail")
+    lines = warehouse.events_as_log_lines(warehouse.table(spark, sf_dir, "events"))
+    tasks = shared.task_count(spark)
+    for late in (False, True):
+        some = lines.where((F.pmod(F.xxhash64("event_id"), F.lit(4)) == 0) == F.lit(late))
+        some.select("value").repartition(tasks).write.mode("append").option("maxRecordsPerFile", 20_000).text(f"{folder}/log")
+        tail = streams.rotated_log(spark, f"{folder}/log", "part-*", f"{folder}/archive", max_files=4 * tasks)
+        log_filter.start_tail(tail, folder, f"{folder}/checkpoint", once=True).awaitTermination()
+    return log_filter.logged(spark, folder).drop("batch")
+
+
 def _ordered_event_stream(spark, sf_dir) -> DataFrame:
     return warehouse.events_as_ratings(_event_stream(spark, sf_dir)).select(
         "userId",
@@ -873,6 +886,7 @@ QUERIES = {
         log_emit,
         log_filter_batch,
         stream_log_filter,
+        stream_log_tail,
         stream_recent_queue,
         state_recent_queue,
         statistics_incremental,

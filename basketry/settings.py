@@ -47,11 +47,14 @@ STREAM_RECS = "StreamRecs"
 MONTHLY = "MonthlyProfile"
 MONTHLY_UPDATES = "MonthlyProfileUpdates"
 TRENDING = "TrendingProducts"
+LOGGED_EVENTS = "LoggedEvents"
+HALF_LINES = "HalfWrittenLines"
 TRIPLES = "ProductNameTriples"
 TRIPLE_COUNTS = "ProductNameTripleCounts"
 
 # Streaming.
 TRIGGER_INTERVAL = "5 seconds"
+LOG_MAX_AGE = "7d"  # a rotated log older than the newest by more is left alone
 TREND_WINDOW = "2 days"
 TREND_SLIDE = "12 hours"
 TREND_DELAY = "6 hours"

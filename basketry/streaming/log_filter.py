@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from basketry import settings
 from basketry.functions import scalars
+from basketry.sinks.tables import batches, write_batch
 from basketry.streaming import run
 
 
@@ -45,14 +46,17 @@ def parse_events(
     return typed
 
 
-def dead_letters(parsed: DataFrame) -> DataFrame:
-    bad = (
+def _malformed():
+    return (
         F.col("userId").isNull()
         | F.col("productId").isNull()
         | F.col("score").isNull()
         | F.col("timestamp").isNull()
     )
-    return parsed.where(bad).select("value")
+
+
+def dead_letters(parsed: DataFrame) -> DataFrame:
+    return parsed.where(_malformed()).select("value")
 
 
 def start_filter(lines: DataFrame, sink: dict, checkpoint: str, once: bool = False):
@@ -65,3 +69,41 @@ def start_filter(lines: DataFrame, sink: dict, checkpoint: str, once: bool = Fal
         .outputMode("append")
     )
     return run.start(writer, checkpoint, once)
+
+
+def start_tail(lines: DataFrame, root: str, checkpoint: str, once: bool = False, time_unit: str = "s"):
+    """Events of ``streams.rotated_log`` into ``LoggedEvents`` under ``root``, bad lines beside them.
+
+    A line cut off by the end of its file and a line that can't be parsed go to
+    ``HalfWrittenLines`` as they are.  Each batch is a partition of both tables that a repeated
+    batch replaces, so every line of every file is in one of them once, or is no rating line.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        kept = keep_rating_lines(batch)
+        parsed = parse_events(
+            kept.select(F.col("value").alias("line"), "complete", payload().alias("value")),
+            permissive=True,
+            time_unit=time_unit,
+        )
+        good = F.col("complete") & ~_malformed()
+        write_batch(
+            parsed.where(good).select("userId", "productId", "score", "timestamp"),
+            root,
+            settings.LOGGED_EVENTS,
+            number,
+        )
+        write_batch(parsed.where(~good).select("line"), root, settings.HALF_LINES, number)
+
+    return run.start(lines.writeStream.foreachBatch(write), checkpoint, once)
+
+
+def logged(spark, root: str, name: str = settings.LOGGED_EVENTS) -> DataFrame:
+    """What ``start_tail`` has written to a table so far, with the ``batch``."""
+    columns = {
+        settings.LOGGED_EVENTS: "userId bigint, productId bigint, score double, timestamp bigint, batch int",
+        settings.HALF_LINES: "line string, batch int",
+    }[name]
+    if not batches(spark, root, name):
+        return spark.createDataFrame([], columns)
+    return spark.read.schema(columns).parquet(f"{root}/{name}")

@@ -359,6 +359,7 @@ FROM rating_events GROUP BY productId""",
   AS "value" FROM rating_events""",
         "log_filter_batch": _with(EVENTS) + _LOG_EVENTS,
         "stream_log_filter": _with(EVENTS) + _LOG_EVENTS.replace("event_id, ", ""),
+        "stream_log_tail": _with(EVENTS) + _LOG_EVENTS.replace("event_id, ", ""),
         "stream_recent_queue": _with(EVENTS, QUEUE) + queue_rows,
         "state_recent_queue": _with(EVENTS, QUEUE) + queue_rows,
         "latest_events": _with(EVENTS)

@@ -5,7 +5,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from basketry import shared
+from basketry import settings, shared
 from basketry.operators import online, ratings
 from basketry.sinks import tables
 from basketry.sources import streams
@@ -40,6 +40,44 @@ def test_log_tail_filter_and_parse(spark, tmp_path, rows):
     assert run() == sorted([*first, (4, 5, 2.0, 1564754547)])
 
 
+def test_log_tail_over_rotation(spark, tmp_path, rows):
+    logs, root = tmp_path / "logs", str(tmp_path / "tables")
+    archive = tmp_path / "archive"
+    logs.mkdir()
+    line = "x PRODUCT_RATING_PREFIX:{}|2|3.5|1564754545"
+    (logs / "agent.log").write_text(line.format(99) + "\n")  # still written
+    (logs / "agent.log.1").write_text(line.format(1) + "\r\nnoise\n" + line.format(2) + "\n")
+    # Cut off in the time of its last event, which still reads as a number.
+    (logs / "agent.log.2").write_text(line.format(3) + "\n" + line.format(4)[:-3])
+    (logs / "agent.log.3").write_text("")
+
+    def run():
+        tail = streams.rotated_log(spark, str(logs), "agent.log.*", str(archive), max_files=1)
+        log_filter.start_tail(tail, root, str(tmp_path / "checkpoint"), once=True).awaitTermination()
+        return rows(log_filter.logged(spark, root), "userId", "timestamp")
+
+    first = [(1, 1564754545), (2, 1564754545), (3, 1564754545)]
+    assert run() == first
+    # Rotation goes on while the query is down; a malformed line is kept beside the events.
+    (logs / "agent.log").rename(logs / "agent.log.4")
+    (logs / "agent.log").write_text("")
+    (logs / "agent.log.5").write_text("x PRODUCT_RATING_PREFIX:7|x|1.0|1\n")
+    for _ in range(2):
+        assert run() == [*first, (99, 1564754545)]
+    bad = log_filter.logged(spark, root, settings.HALF_LINES)
+    assert rows(bad, "line") == [("x PRODUCT_RATING_PREFIX:4|2|3.5|1564754",), ("x PRODUCT_RATING_PREFIX:7|x|1.0|1",)]
+    moved = {p.name for p in archive.rglob("agent.log.*")}
+    assert {"agent.log.1", "agent.log.2"} <= moved
+    assert not moved & {p.name for p in logs.iterdir()}
+
+
+def test_no_log_yet(spark, tmp_path, rows):
+    (tmp_path / "logs").mkdir()
+    tail = streams.rotated_log(spark, str(tmp_path / "logs"), "agent.log.*")
+    log_filter.start_tail(tail, str(tmp_path / "t"), str(tmp_path / "c"), once=True).awaitTermination()
+    assert rows(log_filter.logged(spark, str(tmp_path / "t"))) == []
+
+
 def test_malformed_events(spark, rows):
     df = spark.createDataFrame([("1|2|3.5|100",), ("1|x|3.5|100",), ("1|2",)], "value string")
     with pytest.raises(Exception):
