@@ -1,8 +1,10 @@
 """Byte-pair encoding and decoding with a segment tree over adjacent pair ranks.
 
-Every word is a row of a matrix.  The leaves of a row's tree hold the rank of each adjacent
-pair, so the root yields the leftmost pair of lowest rank; one merge updates three leaves and
-their paths.  All words of a batch merge at the same time, one merge each per step.
+The leaves of a word's tree hold the rank of each adjacent pair, so the root yields the leftmost
+pair of lowest rank; one merge updates three leaves and their paths.  Where many words are of one
+size, each is a row of a matrix and all merge at the same time, one merge each per step; few long
+ones have a tree each.  A tokenizer file that normalises, splits or decodes in another way is an
+error.
 
 Defined results: a null or empty text has no tokens, empty ids and empty decoded text.  Other
 columns of the input are ignored; repeated rows give repeated results; ids may be null.
@@ -36,6 +38,46 @@ _NOT_LATIN = re.compile("[\x1c-\x1f\u0250-\U0010ffff]")
 _RARE = re.compile("[\u0558-\U0010ffff]")
 _NEW_LETTER = regex.compile(r"[\p{L}\p{N}]")
 _NONE = np.iinfo(np.int64).max
+#: From so many words of one size on they merge as rows of a matrix.
+_ROWS = 64
+# What this module does with texts, as tokenizer files describe it (fixed values).
+_DESCRIBED = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": _PIECES.pattern}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "decoder": None,
+}
+_MODEL = {
+    "type": "BPE",
+    "dropout": None,
+    "unk_token": None,
+    "continuing_subword_prefix": None,
+    "byte_fallback": False,
+    "ignore_merges": False,
+}
+_ADDED = ("single_word", "lstrip", "rstrip", "normalized")
+
+
+def _check(described: dict) -> None:
+    """Raise where a tokenizer file asks for what this module doesn't do."""
+    model = described["model"]
+    other = [part for part, wanted in _DESCRIBED.items() if described.get(part) != wanted]
+    other += [part for part, wanted in _MODEL.items() if (model.get(part) or None) != (wanted or None)]
+    other += ["added_tokens"] if any(token.get(f) for token in described["added_tokens"] for f in _ADDED) else []
+    if other:
+        raise ValueError(f"not a tokenizer of lower-case words with byte-level pieces: {', '.join(other)}")
 
 
 def _byte_characters() -> list[str]:
@@ -54,6 +96,7 @@ class Vocabulary:
         if len(text) > MAX_TOKENIZER_MB << 20:
             raise ValueError(f"tokenizer files of over {MAX_TOKENIZER_MB} MB aren't broadcast")
         described = json.loads(text)
+        _check(described)
         model = described["model"]
         end = model["end_of_word_suffix"] or ""
         ids = model["vocab"]
@@ -70,6 +113,8 @@ class Vocabulary:
         keys = left << 32 | right
         order = np.argsort(keys, kind="stable")
         self.keys, self.ranks, self.merged = keys[order], order.astype(np.int64), merged
+        self.merged_list = merged.tolist()
+        self.rank_of = dict(zip(keys.tolist(), range(len(keys)), strict=True))
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Ranks of pairs, ``_NONE`` where they never merge."""
@@ -153,6 +198,46 @@ def _merge_all(symbols: np.ndarray, lengths: np.ndarray, vocabulary: Vocabulary)
     return symbols
 
 
+def _merge_one(symbols: list[int], vocabulary: Vocabulary) -> list[int]:
+    """As ``_merge_all`` for one word: what is left of it."""
+    length, ranks, merged = len(symbols), vocabulary.rank_of, vocabulary.merged_list
+    width = 1 << max(length - 1, 1).bit_length()
+    none = len(merged) * width
+
+    def key(left: int, right: int) -> int:
+        rank = ranks.get(symbols[left] << 32 | symbols[right])
+        return none if rank is None else rank * width + left
+
+    tree = [none] * width + [key(i, i + 1) for i in range(length - 1)]
+    tree += [none] * (2 * width - len(tree))
+    for node in range(width - 1, 0, -1):
+        tree[node] = min(tree[2 * node], tree[2 * node + 1])
+
+    def put(leaf: int, value: int) -> None:
+        node = leaf + width
+        tree[node] = value
+        while node > 1:
+            other = tree[node ^ 1]
+            value = other if other < value else value
+            node >>= 1
+            if tree[node] == value:
+                return
+            tree[node] = value
+
+    following, before = list(range(1, length + 1)), list(range(-1, length))
+    while (best := tree[1]) < none:
+        rank, at = divmod(best, width)
+        gone = following[at]
+        after = following[gone]
+        symbols[at], symbols[gone] = merged[rank], -1
+        following[at], before[after] = after, at
+        put(gone, none)
+        put(at, key(at, after) if after < length else none)
+        if before[at] >= 0:
+            put(before[at], key(before[at], at))
+    return [s for s in symbols if s >= 0]
+
+
 def encode_words(words: list[bytes], vocabulary: Vocabulary) -> list[list[int]]:
     """Token ids of each word."""
     lengths = np.array([len(w) for w in words], np.int64)
@@ -160,6 +245,12 @@ def encode_words(words: list[bytes], vocabulary: Vocabulary) -> list[list[int]]:
     out: list = [None] * len(words)
     for width in np.unique(widths):
         members = np.flatnonzero(widths == width)
+        if len(members) < _ROWS:
+            for i in members.tolist():
+                symbols = vocabulary.inner[np.frombuffer(words[i], np.uint8)].tolist()
+                symbols[-1] = int(vocabulary.last[words[i][-1]])
+                out[i] = _merge_one(symbols, vocabulary)
+            continue
         for start in range(0, len(members), step := max(1, 2_000_000 // int(width))):
             some = members[start : start + step]
             size = lengths[some]

@@ -1,5 +1,6 @@
 """Extraction, personal data, toxicity and tokenization."""
 
+import json
 import random
 import re
 
@@ -293,6 +294,34 @@ def test_tokens_of_whole_tables(spark, tokenizer, documents, odd):
     assert bpe.encode(odd.limit(0), queries.tokenizer_path()).count() == 0
 
 
+def test_long_words_equal_the_library(tokenizer):
+    rng = random.Random(10)
+    texts = ["".join(rng.choices("etaoinshrdlué", k=n)) for n in (2, 3, 64, 65, 5_000, 60_000)]
+    encoder = bpe.Encoder(bpe.Vocabulary(queries.tokenizer_path()))
+    assert encoder.texts(texts) == [expected_tokens(tokenizer, t) for t in texts]
+
+
+@pytest.mark.parametrize(
+    "part, value",
+    [
+        ("normalizer", None),
+        ("pre_tokenizer", {"type": "Whitespace"}),
+        ("decoder", {"type": "ByteLevel"}),
+        ("model", {"byte_fallback": True}),
+        ("model", {"type": "WordPiece"}),
+        ("added_tokens", [{"id": 0, "content": "!", "lstrip": True}]),
+    ],
+)
+def test_other_tokenizers_are_errors(tmp_path, part, value):
+    with open(queries.tokenizer_path(), encoding="utf-8") as file:
+        described = json.load(file)
+    described[part] = described[part] | value if part == "model" else value
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(described))
+    with pytest.raises(ValueError, match=part if part != "model" else next(iter(value))):
+        bpe.Vocabulary(str(path))
+
+
 def test_root_yields_the_leftmost_lowest_rank():
     vocabulary = bpe.Vocabulary(queries.tokenizer_path())
     ranks = dict(zip(vocabulary.keys.tolist(), vocabulary.ranks.tolist(), strict=True))
