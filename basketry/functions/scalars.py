@@ -92,6 +92,53 @@ def user_id_from_name(name) -> Column:
     )
 
 
+_WORD = 0xFFFFFFFF
+
+
+def _let(value: Column, then) -> Column:
+    """``then(value)`` with ``value`` worked out once."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
+def _times(x: Column, factor: int) -> Column:
+    # In halves, as the product of two 32-bit numbers doesn't fit in a bigint.
+    high = (x * (factor >> 16)).bitwiseAND(0xFFFF)
+    return (x * (factor & 0xFFFF) + F.shiftleft(high, 16)).bitwiseAND(_WORD)
+
+
+def _rotated(x: Column, bits: int) -> Column:
+    return F.shiftleft(x, bits).bitwiseAND(_WORD).bitwiseOR(F.shiftright(x, 32 - bits))
+
+
+def _from_hex(text: Column, n_bytes: int) -> Column:
+    """Little-endian number of at most ``n_bytes`` bytes in hexadecimal; 0 of none."""
+    turned = F.concat(*[F.substring(text, 2 * i + 1, 2) for i in reversed(range(n_bytes))])
+    return F.coalesce(F.conv(turned, 16, 10).cast("bigint"), F.lit(0).cast("bigint"))
+
+
+def _mixed(k: Column) -> Column:
+    return _let(_times(k, 0xCC9E2D51), lambda x: _times(_rotated(x, 15), 0x1B873593))
+
+
+def term_bucket(term, num_features: int) -> Column:
+    """Bucket of a term in hashed term features: MurmurHash3 of its UTF-8 with seed 42, as MLlib's
+    ``HashingTF`` has it.  (``F.hash`` reads the last bytes of a text in another way.)"""
+    text = F.hex(F.encode(_col(term), "UTF-8"))
+    blocks = F.regexp_extract_all(text, F.lit(".{8}"), F.lit(0))
+    rest = F.substr(text, 8 * F.size(blocks) + 1)
+    hashed = F.aggregate(
+        F.transform(blocks, lambda b: _mixed(_from_hex(b, 4))),
+        F.lit(42).cast("bigint"),
+        lambda h, k: (_rotated(h.bitwiseXOR(k), 13) * 5 + 0xE6546B64).bitwiseAND(_WORD),
+    )
+    hashed = hashed.bitwiseXOR(_mixed(_from_hex(rest, 3))).bitwiseXOR(F.floor(F.length(text) / 2))
+    hashed = _let(hashed, lambda h: _times(h.bitwiseXOR(F.shiftright(h, 16)), 0x85EBCA6B))
+    hashed = _let(hashed, lambda h: _times(h.bitwiseXOR(F.shiftright(h, 13)), 0xC2B2AE35))
+    signed = _let(hashed, lambda h: h.bitwiseXOR(F.shiftright(h, 16)).cast("bigint"))
+    signed = _let(signed, lambda h: F.when(h > (_WORD >> 1), h - (1 << 32)).otherwise(h))
+    return F.pmod(signed, F.lit(num_features)).cast("int")
+
+
 def _code_point(ch) -> Column:
     # Four big-endian bytes of UTF-32 read as one hexadecimal number.
     return F.conv(F.hex(F.encode(ch, "UTF-32")), 16, 10).cast("bigint")

@@ -16,8 +16,7 @@ the first prefix term the two vectors share.
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import HashingTF, Tokenizer
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import Tokenizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,16 +38,8 @@ def tokens(products: DataFrame) -> DataFrame:
 
 def hashed_tokens(products: DataFrame, num_features=settings.NUM_FEATURES) -> DataFrame:
     """As ``tokens``, each word replaced by its hash bucket."""
-    hashing = HashingTF(inputCol="words", outputCol="tf", numFeatures=num_features)
-    buckets = F.sequence(F.lit(0), F.lit(num_features - 1))
-    repeated = F.zip_with(
-        buckets,
-        vector_to_array("tf"),
-        lambda bucket, n: F.array_repeat(bucket.cast("string"), n.cast("int")),
-    )
-    return hashing.transform(tokens(products)).select(
-        "productId", F.flatten(repeated).alias("words")
-    )
+    bucket = F.transform("words", lambda word: scalars.term_bucket(word, num_features).cast("string"))
+    return tokens(products).select("productId", bucket.alias("words"))
 
 
 class Profiles:

@@ -243,6 +243,16 @@ def content_similar_top10(spark, sf_dir):
     return _rounded(content.top_similar(_words(spark, sf_dir), 10))
 
 
+def content_hashed_counts(spark, sf_dir):
+    """Hashed term features: how often each bucket occurs in a product's tags."""
+    words = content.hashed_tokens(warehouse.products(spark, sf_dir))
+    return (
+        words.select("productId", F.explode(F.col("words").cast("array<int>")).alias("bucket"))
+        .groupBy("productId", "bucket")
+        .agg(F.count("*").alias("tf"))
+    )
+
+
 def content_similar_hashed(spark, sf_dir):
     words = content.hashed_tokens(warehouse.products(spark, sf_dir))
     return _rounded(content.similar_products(words))
@@ -865,6 +875,7 @@ QUERIES = {
         content_profile_similar,
         content_similar,
         content_similar_top10,
+        content_hashed_counts,
         content_similar_hashed,
         content_pages,
         content_lookup,

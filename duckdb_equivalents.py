@@ -89,6 +89,47 @@ content_ranked AS (
   FROM content_sim)"""
 )
 
+_MASK = 4294967295
+
+
+def _mixed(k: str) -> str:
+    scaled = f"(({k}::HUGEINT * 3432918353) & {_MASK})::UBIGINT"
+    turned = f"((({scaled} << 15) & {_MASK}) | ({scaled} >> 17))"
+    return f"(({turned}::HUGEINT * 461845907) & {_MASK})::UBIGINT"
+
+
+def _little(text: str, n_bytes: int) -> str:
+    turned = " || ".join(f"substr({text}, {2 * i + 1}, 2)" for i in reversed(range(n_bytes)))
+    return f"('0x0' || {turned})::UBIGINT"
+
+
+# MurmurHash3 of every word, seed 42, and its bucket of 800.
+HASHED = f"""words AS (
+  SELECT term, hex(encode(term)) AS code FROM (
+    SELECT DISTINCT unnest(string_split(lower(replace(tags, '|', ' ')), ' ')) AS term FROM products)),
+blocks AS (
+  SELECT term, code, list_reduce(
+    list_prepend(42::UBIGINT, [{_mixed(_little("substr(code, 8 * i + 1, 8)", 4))} FOR i IN range(length(code) // 8)]),
+    lambda h, k: ((((xor(h, k) << 13) & {_MASK}) | (xor(h, k) >> 19)) * 5 + 3864292196) & {_MASK}) AS h
+  FROM words),
+ended AS (
+  SELECT term, xor(xor(h, {_mixed(_little("substr(code, 8 * (length(code) // 8) + 1)", 3))}),
+                   (length(code) // 2)::UBIGINT) AS h FROM blocks),
+once AS (SELECT term, ((xor(h, h >> 16)::HUGEINT * 2246822507) & {_MASK})::UBIGINT AS h FROM ended),
+twice AS (SELECT term, ((xor(h, h >> 13)::HUGEINT * 3266489909) & {_MASK})::UBIGINT AS h FROM once),
+buckets AS (
+  SELECT term, CAST(CASE WHEN xor(h, h >> 16) > 2147483647
+                         THEN ((xor(h, h >> 16)::BIGINT - 4294967296) % 800 + 800) % 800
+                         ELSE xor(h, h >> 16) % 800 END AS INT) AS bucket FROM twice)"""
+
+# The same weights and pairs with buckets as terms.
+HASHED_CONTENT = CONTENT.replace(
+    "SELECT productId, unnest(string_split(lower(replace(tags, '|', ' ')), ' ')) AS term\n  FROM products",
+    """SELECT productId, bucket AS term
+  FROM (SELECT productId, unnest(string_split(lower(replace(tags, '|', ' ')), ' ')) AS term FROM products) t
+  JOIN buckets b ON t.term = b.term""",
+)
+
 BASE = """base AS (
   SELECT userId, productId, arg_max(score, struct_pack(t := "timestamp", s := score)) AS score,
          min("timestamp") AS "timestamp"
@@ -309,6 +350,12 @@ FROM content_sim WHERE product1 < product2
 AND product1 IN (SELECT profileId FROM profiles) AND product2 IN (SELECT profileId FROM profiles)""",
         "content_similar": _with(PRODUCTS, CONTENT)
         + "SELECT product1, product2, round(score, 6) AS score FROM content_sim",
+        "content_hashed_counts": _with(PRODUCTS, HASHED)
+        + """SELECT productId, bucket, count(*) AS tf
+FROM (SELECT productId, unnest(string_split(lower(replace(tags, '|', ' ')), ' ')) AS term FROM products) t
+JOIN buckets b ON t.term = b.term GROUP BY ALL""",
+        "content_similar_hashed": _with(PRODUCTS, HASHED, HASHED_CONTENT)
+        + "SELECT product1, product2, round(score, 6) AS score FROM content_sim",
         "content_similar_top10": _with(PRODUCTS, CONTENT)
         + """SELECT product1 AS productId, CAST(rank AS INT) AS rank, product2 AS recId,
        round(score, 6) AS score FROM content_ranked WHERE rank <= 10""",

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.ml.feature import HashingTF
 from pyspark.sql import functions as F
 
 from basketry.functions import scalars
@@ -89,3 +90,13 @@ def test_name_hash_counts_every_code_unit(spark):
     df = spark.createDataFrame([(n,) for n in names], "name string")
     found = df.select("name", scalars.user_id_from_name("name").alias("id")).collect()
     assert {r["name"]: r["id"] for r in found} == {n: java_hash(n) for n in names}
+
+
+def test_term_buckets_are_those_of_mllib(spark):
+    terms = ["", "a", "ab", "abc", "abcd", "abcde", "abcdefg", "富勒", "é", "😀x", "x" * 1000]
+    terms += [f"word{n * n}" for n in range(500)]
+    df = spark.createDataFrame([(t, [t]) for t in terms], "term string, terms array<string>")
+    for size in (800, 7, 1 << 18):
+        hashed = HashingTF(inputCol="terms", outputCol="tf", numFeatures=size).transform(df)
+        for row in hashed.withColumn("bucket", scalars.term_bucket("term", size)).collect():
+            assert [row["bucket"]] == row["tf"].indices.tolist()
