@@ -7,8 +7,9 @@ kind from features of the whole span, and a dynamic program over segments choose
 and kinds together.  Its spans that touch no base span are added.
 
 The field is trained by maximum likelihood on a bounded number of islands of the corpus, an equal
-share of every kind and of islands without any as far as there are so many, which the base rules label, and on copies of them that the rules miss (phone numbers without their
-country code).
+share of every kind and of islands without any as far as there are so many, which the base rules
+label, and on copies of them that the rules miss (phone numbers without their country code).
+Islands of ``MAX_LEARNED`` characters or more, tables of numbers for the most part, don't train it.
 
 Defined results: a null or empty text has no spans; without islands to learn from nothing is
 added; overlapping base spans of different kinds all stay; repeated rows are judged alike.
@@ -20,6 +21,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +35,11 @@ KINDS = ("email", "ip", "card", "phone")
 MAX_TRAINING = 800
 EPOCHS = 5
 MAX_ATOMS = 16
+#: Atoms of an island whose candidates are scored together, and feature names that a task remembers.
+STEP_ATOMS = 2048
+MAX_NAMES = 100_000
+#: Islands of so many characters or more are found and segmented, but the field doesn't learn from them.
+MAX_LEARNED = 200
 _BUCKETS = 512
 
 _SIGN = re.compile("[0-9@]")
@@ -146,17 +153,21 @@ def span_features(text: str, start: int, end: int, cache: dict) -> list[int]:
     return [cache.get(x) or cache.setdefault(x, _number(x)) for x in named]
 
 
-def _segments(text: str, cache: dict) -> tuple[list[int], list[tuple[int, int, list[int]]]]:
-    """Atom boundaries, and (first atom, last atom + 1, features) of every candidate."""
-    bounds = [0, *(m.end() for m in _ATOM.finditer(text))]
+def _bounds(text: str) -> list[int]:
+    """Where atoms begin, and the end."""
+    return [0, *(m.end() for m in _ATOM.finditer(text))]
+
+
+def _segments(text: str, bounds: list[int], cache: dict, first: int = 0, last: int | None = None) -> list:
+    """(first atom, last atom + 1, features) of every candidate that begins with atoms ``first`` to ``last``."""
     out = []
-    for i in range(len(bounds) - 1):
+    for i in range(first, len(bounds) - 1 if last is None else last):
         if text[bounds[i]] == " ":
             continue
         for j in range(i + 1, min(i + MAX_ATOMS, len(bounds) - 1) + 1):
             if text[bounds[j] - 1] != " " and _SIGN.search(text, bounds[i], bounds[j]):
                 out.append((i, j, span_features(text, bounds[i], bounds[j], cache)))
-    return bounds, out
+    return out
 
 
 def _scores(segments: list, weights: np.ndarray) -> np.ndarray:
@@ -166,23 +177,34 @@ def _scores(segments: list, weights: np.ndarray) -> np.ndarray:
 
 
 def decode(text: str, weights: np.ndarray, cache: dict) -> list[tuple[str, int, int]]:
-    """The best segmentation of an island."""
-    bounds, segments = _segments(text, cache)
-    scores = _scores(segments, weights)
-    kinds, tops = scores.argmax(1).tolist(), scores.max(1).tolist() if len(segments) else []
+    """The best segmentation of an island.
+
+    Candidates are scored for ``STEP_ATOMS`` first atoms at a time, so that an island of any length
+    takes little more memory than its text; those that end by the next step's first atom all
+    begin before it, so the program over ends goes on as if it had them all.
+    """
+    bounds = _bounds(text)
+    atoms = len(bounds) - 1
+    best, back = [0.0] * (atoms + 1), {}
     ending = defaultdict(list)
-    for k, (i, j, _) in enumerate(segments):
-        if tops[k] > 0:
-            ending[j].append((i, tops[k], kinds[k]))
-    best, back = [0.0] * len(bounds), [None] * len(bounds)
-    for j in range(1, len(bounds)):
-        best[j] = best[j - 1]
-        for i, score, kind in ending.get(j, ()):
-            if best[i] + score > best[j]:
-                best[j], back[j] = best[i] + score, (i, kind)
+    for first in range(0, atoms, STEP_ATOMS):
+        last = min(first + STEP_ATOMS, atoms)
+        segments = _segments(text, bounds, cache, first, last)
+        scores = _scores(segments, weights)
+        kinds, tops = scores.argmax(1).tolist(), scores.max(1).tolist() if len(segments) else []
+        for k, (i, j, _) in enumerate(segments):
+            if tops[k] > 0:
+                ending[j].append((i, tops[k], kinds[k]))
+        for j in range(first + 1, last + 1):
+            best[j] = best[j - 1]
+            for i, score, kind in ending.pop(j, ()):
+                if best[i] + score > best[j]:
+                    best[j], back[j] = best[i] + score, (i, kind)
+        if len(cache) > MAX_NAMES:
+            cache.clear()
     out, j = [], len(bounds) - 1
     while j > 0:
-        if back[j]:
+        if j in back:
             i, kind = back[j]
             out.append((KINDS[kind], bounds[i], bounds[j]))
             j = i
@@ -225,7 +247,8 @@ def train(texts: list[str], epochs: int = EPOCHS) -> np.ndarray:
             _, start, end = gold[0]
             variants.append((text[:start] + text[start + cut.end() :], [("phone", start, end - cut.end())]))
         for own, spans in variants:
-            bounds, segments = _segments(own, cache)
+            bounds = _bounds(own)
+            segments = _segments(own, bounds, cache)
             at = {(bounds[i], bounds[j]): k for k, (i, j, _) in enumerate(segments)}
             clear = all(a[2] <= b[1] or b[2] <= a[1] for a in spans for b in spans if a is not b)
             if segments and clear and all((s, e) in at for _, s, e in spans):
@@ -258,22 +281,35 @@ def training_islands(docs: DataFrame, most: int = MAX_TRAINING, text_col: str =
     their places to the others, so that all islands are taken where there are no more than ``most``.
     """
 
+    def first(found):
+        return set(sorted(found)[:most])
+
     def run(batches):
+        # A task sends on what can still be among the first of a kind.
+        kept: list[set] = [set() for _ in range(len(KINDS) + 1)]
         for batch in batches:
-            found = sorted({t[s:e] for t in batch.column(0).to_pylist() if t for s, e in islands(t) if e - s < 200})
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found, pa.string()), pa.array([_strata(x) for x in found], pa.list_(pa.int32()))],
-                ["island", "strata"],
-            )
+            own = {t[s:e] for t in batch.column(0).to_pylist() if t for s, e in islands(t) if e - s < MAX_LEARNED}
+            for island in own:
+                ranked = (xxhash.xxh64_intdigest(island.encode()), island)
+                for stratum in _strata(island):
+                    kept[stratum].add(ranked)
+            kept = [first(found) if len(found) > 4 * most else found for found in kept]
+        rows = [(island, stratum, hash_) for stratum, found in enumerate(kept) for hash_, island in first(found)]
+        islands_, strata, hashes = zip(*rows, strict=True) if rows else ((), (), ())
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(islands_, pa.string()),
+                pa.array(strata, pa.int32()),
+                pa.array(hashes, pa.uint64()).cast(pa.decimal128(20, 0)),
+            ],
+            ["island", "stratum", "hash"],
+        )
 
     found = docs.select(F.col(text_col).alias("text")).where(F.col("text").rlike("[0-9@]"))
-    found = found.mapInArrow(run, "island string, strata array<int>").dropDuplicates(["island"])
-    ranked = (
-        found.select("island", F.explode("strata").alias("stratum"))
-        .withColumn("hash", F.xxhash64("island"))
-        .withColumn("rank", F.row_number().over(Window.partitionBy("stratum").orderBy("hash", "island")))
-        .where(F.col("rank") <= most)
-    )
+    found = found.mapInArrow(run, "island string, stratum int, hash decimal(20,0)").dropDuplicates(["island", "stratum"])
+    ranked = found.withColumn(
+        "rank", F.row_number().over(Window.partitionBy("stratum").orderBy("hash", "island"))
+    ).where(F.col("rank") <= most)
     chosen = ranked.groupBy("island", "hash").agg(F.min("rank").alias("rank")).orderBy("rank", "hash", "island")
     return [r["island"] for r in sorted(chosen.limit(most).collect(), key=lambda r: (r["hash"], r["island"]))]
 
@@ -335,8 +371,6 @@ def find(
                 base.append(shown(own))
                 spans.append(shown(every))
                 masked.append(mask(text, every) if every else None)
-            if len(cache) > 100_000:
-                cache = {}
             made = {
                 "base": pa.array(base, kind),
                 "spans": pa.array(spans, kind),

@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+import xxhash
 from samples import SF_DIR
 
 from basketry.llm import bpe, html_extraction, pii, queries, toxicity
@@ -294,6 +295,32 @@ def test_tokens_of_whole_tables(spark, tokenizer, documents, odd):
     assert bpe.encode(odd.limit(0), queries.tokenizer_path()).count() == 0
 
 
+def test_islands_of_any_length_are_segmented_alike(monkeypatch):
+    rng = random.Random(12)
+    weights = np.random.default_rng(1).normal(0, 0.6, (512, len(pii.KINDS)))
+    made = ["".join(rng.choice("0123456789 .-@ab+ ") for _ in range(rng.randrange(1, 400))) for _ in range(60)]
+    found = []
+    for step in (1 << 30, 1, 7, pii.MAX_ATOMS, 100):
+        monkeypatch.setattr(pii, "STEP_ATOMS", step)
+        monkeypatch.setattr(pii, "MAX_NAMES", step)
+        found.append([pii.decode(text, weights, {}) for text in made])
+    assert all(f == found[0] for f in found) and any(found[0])
+
+
+def test_training_islands_are_the_first_of_each_kind(spark):
+    texts = [f"call +49 30 {n:07d} or {n} | a{n}@b.org | {n}.1.2.3" for n in range(500)] + [None, "", "no sign"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(7)
+    every = {t[s:e] for t in texts if t for s, e in pii.islands(t)}
+    most = 40
+    places = {}
+    for stratum in range(len(pii.KINDS) + 1):
+        own = [(xxhash.xxh64_intdigest(x.encode()), x) for x in every if stratum in pii._strata(x)]
+        for rank, (hash_, x) in enumerate(sorted(own)):
+            places[x] = min(places.get(x, (rank, hash_)), (rank, hash_))
+    chosen = sorted(places, key=lambda x: (*places[x], x))[:most]
+    assert sorted(pii.training_islands(docs, most)) == sorted(chosen)
+
+
 def test_long_words_equal_the_library(tokenizer):
     rng = random.Random(10)
     texts = ["".join(rng.choices("etaoinshrdlué", k=n)) for n in (2, 3, 64, 65, 5_000, 60_000)]
