@@ -369,3 +369,24 @@ def test_queries_return_their_columns(spark):
     for name, query in queries.QUERIES.items():
         assert query(spark, SF_DIR).limit(1).count() == 1, name
     assert queries.op9_toxicity(spark, SF_DIR).where("score BETWEEN 0 AND 1").count() == n_docs
+
+
+def test_differencing_decides_on_pages_with_articles(spark):
+    """An article that is the same on every page is a card of the template, however long; one that
+    shares a licence line with its neighbours keeps it."""
+    card = "<article><p>" + "Our offer of the week, for all readers of this site. " * 4 + "</p></article>"
+    story = "It goes on and on for a while, as stories do. " * 6
+    data = [
+        (i, f"http://cards.example/{i}", f"<body>{card}<div><p>{story * i}Story number {i}</p><p>{story}Its end, {i}</p></div></body>")
+        for i in range(4)
+    ]
+    data += [
+        (10 + i, f"http://texts.example/{i}", f"<body><p>All sections</p><article><p>Text {i} is told here</p><p>Free to copy</p></article></body>")
+        for i in range(4)
+    ]
+    pages = spark.createDataFrame(data, "page_id int, url string, html string")
+    found = {r.page_id: r.text for r in html_extraction.extract(pages).collect()}
+    assert found == {
+        **{i: f"{story * i}Story number {i}\n{story}Its end, {i}" for i in range(4)},
+        **{10 + i: f"Text {i} is told here\nFree to copy" for i in range(4)},
+    }
