@@ -115,3 +115,27 @@ def test_vocabulary_slices(spark, skewed, monkeypatch):
     monkeypatch.setattr(content, "_VOCABULARY_CHUNK", 4)
     words = content.tokens(products(spark, skewed))
     assert as_dict(content.similar_products(words)) == brute_force(skewed, 0.4)
+
+
+@pytest.mark.parametrize("page_size", [1, 4, 7, 1000])
+def test_pages_are_those_of_all_pairs_ranked_once_a_profile(spark, skewed, monkeypatch, page_size):
+    """Also ids of two rows, with equal and with other tags, and null ids."""
+    rows = [(i, "p", t) for i, t in skewed.items()]
+    rows += [(3, "p", skewed[3]), (100, "p", skewed[100]), (101, "p", skewed[0]), (None, "p", skewed[0]), (999, "p", "alone")]
+    words = content.tokens(spark.createDataFrame(rows, "productId int, name string, tags string"))
+    whole = content.ranking.pack_pages(content.similar_products(words), "product1", item="product2", page_size=page_size)
+    ranked = []
+    list_rank = content.ranking.list_rank
+
+    def counted(df, *args, **kwargs):
+        ranked.append(df.count())
+        return list_rank(df, *args, **kwargs)
+
+    monkeypatch.setattr(content.ranking, "list_rank", counted)
+    paged = content.similar_pages(words, page_size)
+
+    def lists(pages):
+        return {(r.product1, r.page): [(e.productId, round(e.score, 9)) for e in r.recs] for r in pages.collect()}
+
+    assert lists(paged) == lists(whole)
+    assert ranked[0] < 0.5 * content.similar_products(words).count()
