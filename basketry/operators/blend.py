@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry import settings
+from basketry import settings, shared
 from basketry.operators import ranking
 
 
@@ -23,16 +23,42 @@ def blend(
 
     ``sources`` maps a name to (recommendation rows, weight).
     """
+    return ranking.rank_recs(_weighted_sum(sources, key), key, k).select(key, "rank", "productId", "score")
+
+
+def _weighted_sum(sources: dict[str, tuple[DataFrame, float]], key: str) -> DataFrame:
     weighted = [
         normalised(rows, key).withColumn("score", F.col("score") * F.lit(float(weight)))
         for rows, weight in sources.values()
     ]
-    total = (
-        reduce(DataFrame.unionByName, weighted)
-        .groupBy(key, "productId")
-        .agg(F.sum("score").alias("score"))
+    return reduce(DataFrame.unionByName, weighted).groupBy(key, "productId").agg(F.sum("score").alias("score"))
+
+
+def blend_by_trigger(
+    triggers: DataFrame,
+    of_trigger: dict[str, tuple[DataFrame, float]],
+    of_user: dict[str, tuple[DataFrame, float]],
+    k: int = settings.USER_TOP,
+    key: str = "userId",
+) -> DataFrame:
+    """As ``blend`` where some lists depend on the user's ``trigger`` alone.
+
+    ``triggers`` has one row ``key, trigger`` per user; lists in ``of_trigger`` are keyed by ``trigger``.
+    Those are summed once for each trigger.  A user needs no more of the sum than the best ``k`` and
+    one more for each product with a score of the user's own, whose places are looked up.
+    """
+    known = shared.stage(triggers.select(key, "trigger").dropna(), "triggers")
+    sums = shared.stage(_weighted_sum(of_trigger, "trigger"), "trigger-sums")
+    own = shared.stage(_weighted_sum(of_user, key), "own-sums")
+    most = own.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    leading = ranking.rank_recs(sums, "trigger", k + most).drop("rank")
+    others = known.join(leading, "trigger").select(key, "productId", "score").join(own, [key, "productId"], "left_anti")
+    both = (
+        own.join(known, key, "left")
+        .join(sums.withColumnRenamed("score", "shared"), ["trigger", "productId"], "left")
+        .select(key, "productId", (F.col("score") + F.coalesce("shared", F.lit(0.0))).alias("score"))
     )
-    return ranking.rank_recs(total, key, k).select(key, "rank", "productId", "score")
+    return ranking.rank_recs(others.unionByName(both), key, k).select(key, "rank", "productId", "score")
 
 
 def merge_stream_recs(
