@@ -10,7 +10,7 @@ that, so a text that repeats shingles also has the bands of the same registers w
 which agree with the Jaccard similarity; a text that repeats none has the same bands either way.
 
 Equal texts are collapsed first.  The candidates of the smallest text of a band bucket form its
-group; groups are cut into blocks of bounded size, so that no task holds a hot one.  Inside a
+group; groups are cut into blocks bounded in texts and bytes, so that no task holds a hot one.  Inside a
 block all pairs that aren't connected yet are compared; texts of a cut group that aren't like
 its centre are compared with the other blocks in a second step.  Classes are the connected
 components of the links.
@@ -38,6 +38,10 @@ BANDS = 32
 ROWS = 4
 #: Texts that a task compares with each other.
 BLOCK = 256
+#: Bytes of their shingle hashes, about; a larger text is still compared whole.
+BLOCK_BYTES = 4 << 20
+#: Bytes of text that are worked on together: signing needs some 30 times as much.
+_SLICE = 1 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -115,9 +119,12 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
 class _Sets:
     """Forest of the sets that a task compares; sets are put together once linked."""
 
-    def __init__(self, table: pa.Table):
-        self.ids = table.column("id").to_pylist()
-        self.sets = [np.frombuffer(x, np.uint64) for x in table.column("keys").to_pylist()]
+    def __init__(self, table: pa.Table, first=None):
+        """In the table's order, or ``first`` and then by id."""
+        ids, keys = table.column("id").to_pylist(), list(table.column("keys"))
+        order = range(len(ids)) if first is None else sorted(range(len(ids)), key=lambda i: (ids[i] != first, ids[i]))
+        self.ids = [ids[i] for i in order]
+        self.sets = [np.frombuffer(keys[i].as_buffer(), np.uint64) for i in order]
         self.parent = list(range(len(self.ids)))
 
     def root(self, i: int) -> int:
@@ -136,22 +143,22 @@ class _Sets:
 
 
 def _pack(docs: DataFrame) -> DataFrame:
-    """``id, keys`` of every text, the shingle hashes as bytes."""
+    """``id, keys, size`` of every text, the shingle hashes as bytes and how many bytes they are."""
 
     def run(batches):
         for batch in batches:
-            texts = words.binary(batch.column(1))
-            for start, end in words.text_slices(texts):
-                sets = shingles(texts[start:end])
+            for start, end in words.column_slices(batch.column(1), _SLICE):
+                sets = shingles(words.binary(batch.column(1).slice(start, end - start)))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(start, end - start),
                         pa.array([k.tobytes() for k, _ in sets], pa.binary()),
+                        pa.array([k.nbytes for k, _ in sets], pa.int64()),
                     ],
-                    ["id", "keys"],
+                    ["id", "keys", "size"],
                 )
 
-    return docs.mapInArrow(run, f"id {words.kind_of(docs, 'doc_id')}, keys binary")
+    return docs.mapInArrow(run, f"id {words.kind_of(docs, 'doc_id')}, keys binary, size bigint")
 
 
 def sign(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -159,9 +166,8 @@ def sign(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            texts = words.binary(batch.column(1))
-            for start, end in words.text_slices(texts):
-                some = texts[start:end]
+            for start, end in words.column_slices(batch.column(1), _SLICE):
+                some = words.binary(batch.column(1).slice(start, end - start))
                 sets = shingles(some)
                 filled = [i for i, (k, _) in enumerate(sets) if len(k)]
                 found: list = [[]] * len(some)
@@ -196,14 +202,31 @@ def _groups(texts: DataFrame) -> DataFrame:
 
 
 def links(
-    groups: DataFrame, docs: DataFrame, own: DataFrame, least: float = SIMILARITY, block: int = BLOCK
+    groups: DataFrame,
+    docs: DataFrame,
+    own: DataFrame,
+    least: float = SIMILARITY,
+    block: int = BLOCK,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """``a, b``: a forest that connects the texts whose verified links connect them.
 
     ``own`` has the ``digest`` of the text that each ``doc_id`` stands for.
     """
     kind = words.kind_of(groups, "id")
-    sizes = groups.groupBy("centre").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    needed = groups.select(F.explode(F.array("centre", "id")).alias("doc_id")).distinct().join(own, "doc_id")
+    digest = F.unhex(F.md5(F.coalesce("text", F.lit(""))))
+    judged = docs.withColumn("digest", digest).join(needed, ["doc_id", "digest"], "left_semi")
+    sets = shared.stage(_pack(judged.select("doc_id", "text")), "sets")
+
+    def dealt(texts: DataFrame, number: str) -> DataFrame:
+        """``centre`` and the ``number`` of blocks that its texts (``centre, id``) need."""
+        held = sets.groupBy("id").agg(F.sum("size").alias("size"))
+        parts = F.greatest(F.count("*") / block, F.sum("size") / block_bytes)
+        return texts.join(held, "id").groupBy("centre").agg(F.ceil(parts).cast("int").alias(number))
+
+    sets_of = sets.select("id", "keys")
+    sizes = dealt(groups, "blocks")
     members = groups.join(sizes, "centre").withColumn(
         "block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     )
@@ -219,17 +242,11 @@ def links(
         ),
         "blocks",
     )
-    needed = placed.select(F.col("id").alias("doc_id")).distinct().join(own, "doc_id")
-    digest = F.unhex(F.md5(F.coalesce("text", F.lit(""))))
-    judged = docs.withColumn("digest", digest).join(needed, ["doc_id", "digest"], "left_semi")
-    sets = shared.stage(_pack(judged.select("doc_id", "text")), "sets")
 
     def inside(key, table):
         """Compare a block's texts, the centre first; say who isn't connected to it."""
         centre = key[0].as_py()
-        order = sorted(range(table.num_rows), key=lambda i: (table["id"][i].as_py() != centre, table["id"][i].as_py()))
-        table = table.take(order)
-        own = _Sets(table)
+        own = _Sets(table, centre)
         found = []
         for i in range(1, len(own.ids)):
             if own.alike(0, i, least):
@@ -251,7 +268,7 @@ def links(
             }
         )
 
-    filled = placed.join(sets, "id").select("centre", "id", "blocks", "block", "keys")
+    filled = placed.join(sets_of, "id").select("centre", "id", "blocks", "block", "keys")
     first = shared.stage(
         filled.groupBy("centre", "block").applyInArrow(inside, f"centre {kind}, a {kind}, b {kind}"),
         "block-links",
@@ -262,11 +279,11 @@ def links(
         return found
 
     # What isn't like the centre of a cut group meets every block of it.
-    chunks = left.groupBy("centre").agg(F.ceil(F.count("*") / block).cast("int").alias("chunks"))
+    chunks = dealt(left, "chunks")
     sides = ["centre", "id", "block", "chunk", "single"]
     single = (
         left.join(chunks, "centre")
-        .join(sizes, "centre")
+        .join(placed.where("id = centre").select("centre", "blocks").distinct(), "centre")
         .withColumn("chunk", F.pmod(F.xxhash64("id", F.lit(1)), F.col("chunks")).cast("int"))
         .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("single", F.lit(True))
@@ -295,7 +312,7 @@ def links(
         kind = table["id"].type
         return pa.table({"a": pa.array([a for a, _ in found], kind), "b": pa.array([b for _, b in found], kind)})
 
-    met = single.unionByName(others).join(sets, "id").groupBy("centre", "block", "chunk")
+    met = single.unionByName(others).join(sets_of, "id").groupBy("centre", "block", "chunk")
     return shared.stage(found.unionByName(met.applyInArrow(across, f"a {kind}, b {kind}")), "all-links")
 
 
@@ -336,6 +353,7 @@ def classes(
     block: int = BLOCK,
     id_col: str = "doc_id",
     text_col: str = "text",
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """``doc_id, text_id, class_id`` of every document.
 
@@ -351,7 +369,7 @@ def classes(
     first = signed.join(own, ["doc_id", "digest"], "left_semi")
     texts = first.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands"))
     groups = shared.stage(_groups(texts), "groups")
-    found = components(links(groups, docs, own, least, block))
+    found = components(links(groups, docs, own, least, block, block_bytes))
     named = texts.select("digest", "id").join(found, "id", "left").select(
         "digest", F.col("id").alias("text_id"), F.coalesce("class", "id").alias("class_id")
     )

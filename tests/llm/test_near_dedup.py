@@ -4,11 +4,13 @@ import hashlib
 import itertools
 import random
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
 from samples import plain_words
 
+from basketry import shared
 from basketry.llm import near_dedup
 
 
@@ -75,6 +77,33 @@ def test_hot_group_of_near_copies_in_small_blocks(spark):
     assert {r.doc_id: r.class_id for r in found} == expected_classes(rows)
 
 
+def test_groups_of_long_texts_are_cut_by_their_bytes(spark):
+    """Few enough texts for one block, but 10 MB of shingles."""
+    rng = random.Random(3)
+    base = [f"b{i}" for i in range(20_000)]
+    rows = []
+    for i in range(60):
+        own = list(base)
+        for at in rng.sample(range(20_000), rng.randrange(200)):
+            own[at] = f"r{i}_{at}"
+        rows.append((i, " ".join(own)))
+    folder = Path(shared.shared_dir(spark).removeprefix("file://")) / "basketry"
+    before = set(folder.glob("blocks-*"))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    found = near_dedup.classes(docs).collect()
+    assert {r.doc_id: r.class_id for r in found} == dict.fromkeys(range(60), 0)
+    (blocks,) = set(folder.glob("blocks-*")) - before
+    held = spark.read.parquet(str(blocks)).groupBy("centre", "block").count().agg({"count": "max"}).first()[0]
+    assert held * 20_000 * 8 < 8_000_000
+
+
+@pytest.mark.parametrize("block_bytes", [1, 4000])
+def test_blocks_cut_by_bytes_lose_no_link(documents, block_bytes):
+    rows = [(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()]
+    found = near_dedup.classes(documents, block_bytes=block_bytes).collect()
+    assert {r.doc_id: r.class_id for r in found} == expected_classes(rows)
+
+
 def test_no_documents(spark):
     assert near_dedup.classes(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
