@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.ml.feature import IDF, HashingTF, Tokenizer
 
+from basketry import settings
 from basketry.operators import content
 
 
@@ -139,3 +140,24 @@ def test_pages_are_those_of_all_pairs_ranked_once_a_profile(spark, skewed, monke
 
     assert lists(paged) == lists(whole)
     assert ranked[0] < 0.5 * content.similar_products(words).count()
+
+
+def test_members_of_a_profile_travel_in_chunks(spark, monkeypatch):
+    """Whole lists of many copies, ids that are null or repeat, rounded scores; few ids to a row."""
+    monkeypatch.setattr(settings, "MEMBERS", 3)
+    bags = [["red", "ring"], ["red", "ring", "gold"], ["blue"], ["blue", "hat"]]
+    given = [(i, bags[i * i % 4 if i < 20 else 3]) for i in range(30)] + [(None, bags[0]), (4, bags[0]), (5, bags[3])]
+    words = spark.createDataFrame(given, "productId bigint, words array<string>")
+    profiles = content.Profiles(words)
+    score = {(r.profile1, r.profile2): r.score for r in content.profile_similarity(profiles.weights).collect()}
+    score |= {(b, a): x for (a, b), x in score.items()} | {(m.profileId, m.profileId): 1.0 for m in profiles.members.collect()}
+    members = [(m.productId, m.profileId) for m in profiles.members.collect() if m.productId is not None]
+    expected = sorted(
+        (a, b, round(score[p, q], 6)) for a, p in members for b, q in members if a != b and (p, q) in score
+    )
+    found = content.similar_products(words, decimals=6)
+    assert sorted(tuple(r) for r in found.select("product1", "product2", "score").collect()) == expected
+    assert max(len(r.products1) for r in content._chunks(profiles.members, "1").collect()) < len(members) / 3
+    asked = spark.createDataFrame([(4,), (25,)], "productId bigint")
+    some = content.similar_products(words, requests=asked, decimals=6).select("product1", "product2", "score")
+    assert sorted(tuple(r) for r in some.collect()) == [x for x in expected if x[0] in (4, 25)]
