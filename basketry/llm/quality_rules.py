@@ -45,15 +45,18 @@ def hashed(docs: DataFrame) -> DataFrame:
     return docs.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
 
 
-def _features(buckets: int) -> F.Column:
-    """Buckets of the words and word pairs of column ``hashes``."""
-    single = F.transform("hashes", lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
+def _grams() -> F.Column:
+    """Hashes of the words and then of the word pairs of column ``hashes``."""
     pairs = F.zip_with(
         F.slice("hashes", 1, F.greatest(F.size("hashes") - 1, F.lit(0))),
         _shifted("hashes"),
-        lambda a, b: F.pmod(F.xxhash64(a, b), F.lit(buckets)).cast("int"),
+        lambda a, b: F.xxhash64(a, b),
     )
-    return F.concat(single, pairs)
+    return F.concat("hashes", pairs)
+
+
+def _bucket(gram: F.Column, buckets: int) -> F.Column:
+    return F.pmod(gram, F.lit(buckets)).cast("int")
 
 
 def base_counts(docs: DataFrame) -> DataFrame:
@@ -70,9 +73,13 @@ def base_counts(docs: DataFrame) -> DataFrame:
             "lines": lines,
             "windows": F.when(
                 F.size("hashes") >= size,
-                F.transform(
-                    F.sequence(F.lit(0), F.size("hashes") - size),
-                    lambda i: F.xxhash64(*[F.get("hashes", i + k) for k in range(size)]),
+                F.slice(
+                    F.transform(
+                        "hashes",
+                        lambda h, i: F.xxhash64(h, *[F.get("hashes", i + k) for k in range(1, size)]),
+                    ),
+                    1,
+                    F.size("hashes") - size + 1,
                 ),
             ).otherwise(F.array().cast("array<bigint>")),
         }
@@ -122,9 +129,9 @@ def bucket_weights(
         .withColumn("trusted", F.lit(1))
     )
     features = docs.join(F.broadcast(trusted), "doc_id", "left").select(
-        F.coalesce("trusted", F.lit(0)).alias("trusted"), F.explode(_features(buckets)).alias("bucket")
+        F.coalesce("trusted", F.lit(0)).alias("trusted"), F.explode(_grams()).alias("gram")
     )
-    counts = features.groupBy("bucket").agg(
+    counts = features.groupBy(_bucket(F.col("gram"), buckets).alias("bucket")).agg(
         F.count("*").alias("raw"), F.sum("trusted").alias("target")
     )
     raw, target = [0] * buckets, [0] * buckets
@@ -158,11 +165,12 @@ def rate(
     weights = bucket_weights(own, labels, buckets, max_trusted)
     # One literal array after constant folding.
     table = F.split(F.lit(",".join(f"{w:.6f}" for w in weights)), ",").cast("array<double>")
-    rated = base_counts(own).withColumn("features", _features(buckets))
-    total = F.aggregate("features", F.lit(0.0), lambda s, f: s + F.get(table, f))
+    rated = base_counts(own)
+    # Summed as the grams are made: no array of buckets or weights is kept beside a text.
+    total = F.aggregate(_grams(), F.lit(0.0), lambda s, g: s + F.get(table, _bucket(g, buckets)))
     rated = rated.withColumns(
         {
-            "score": F.round(total / F.greatest(F.size("features"), F.lit(1)), 6),
+            "score": F.round(total / F.greatest(2 * F.col("n_words") - 1, F.lit(1)), 6),
             "base_failed": (F.col("n_words") < MIN_WORDS)
             | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")),
         }
@@ -171,4 +179,4 @@ def rate(
     # projections, which would repeat their expressions many times over.
     verdict = ~F.col("base_failed") & (F.col("score") >= threshold)
     rated = rated.withColumn("kept", verdict & (F.monotonically_increasing_id() >= 0))
-    return rated.drop("text", "words", "hashes", "features")
+    return rated.drop("text", "words", "hashes")

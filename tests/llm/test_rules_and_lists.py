@@ -6,6 +6,7 @@ from collections import Counter
 from datetime import date
 
 import pytest
+import xxhash
 from samples import PROSE, SF_DIR, plain_words
 
 from basketry.llm import decontamination, quality_rules, queries, url_filters
@@ -57,6 +58,26 @@ def test_quality_rules_run_without_python(spark):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
+def test_score_is_the_mean_weight_and_no_array_of_features_is_kept(spark, odd, labels):
+    own = odd.select("doc_id", "text").withColumn("words", quality_rules.words_of(odd["text"]))
+    table = quality_rules.bucket_weights(quality_rules.hashed(own), labels, buckets=64)
+    rated = quality_rules.rate(odd, labels, buckets=64)
+
+    def mean(text):
+        hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in plain_words(text)]
+        pairs = [
+            xxhash.xxh64_intdigest(b.to_bytes(8, "little"), xxhash.xxh64_intdigest(a.to_bytes(8, "little"), 42))
+            for a, b in zip(hashes, hashes[1:])
+        ]
+        return sum(table[g % 64] for g in hashes + pairs) / max(1, len(hashes + pairs))
+
+    expected = sorted((str(r.doc_id), mean(r.text)) for r in odd.collect())
+    got = sorted((str(r.doc_id), r.score) for r in rated.collect())
+    assert any(table) and [i for i, _ in got] == [i for i, _ in expected]
+    assert [x for _, x in got] == pytest.approx([x for _, x in expected], abs=2e-6)
+    assert "features" not in rated._jdf.queryExecution().optimizedPlan().toString()
+
+
 LIST = [
     ("bad.example", "spam", date(2024, 1, 10), "add"),
     ("bad.example", "spam", date(2024, 1, 20), "drop"),
