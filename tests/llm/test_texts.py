@@ -111,6 +111,25 @@ def test_cells_split_a_host(spark, monkeypatch):
     assert {r.text for r in html_extraction.extract(pages).collect()} == {f"Text {i}" for i in range(60)}
 
 
+def test_cells_change_no_text(spark, monkeypatch):
+    """Pages whose nearest pages are in other cells, behind many copies or none, are paired with them."""
+    rng = random.Random(5)
+    frame = "<p>About this site</p><p>%s</p><p>Imprint of the site</p>"
+    rows = []
+    for n in range(12):
+        body = "".join(f"<p>Line {i} of story {n}, {rng.random()}</p>" for i in range(8))
+        for copy in range(rng.choice([1, 1, 2, 9])):
+            rows.append((len(rows), f"http://h.example/{n:02}/{copy}", frame % f"Day {copy}" + body))
+    rows += [(100, "http://i.example/1", frame % "One"), (101, "http://i.example/2", frame % "Two")]
+    rows += [(102 + i, f"http://k.example/{i}", "") for i in range(5)] + [(200, None, None)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    whole = {r.page_id: r.text for r in html_extraction.extract(pages).collect()}
+    assert not any("About" in text for i, text in whole.items() if i < 100)
+    for size in (400, 2000):
+        monkeypatch.setattr(html_extraction, "CELL_BYTES", size)
+        assert {r.page_id: r.text for r in html_extraction.extract(pages).collect()} == whole
+
+
 def test_common_subsequence_is_longest():
     rng = random.Random(1)
     for _ in range(200):
