@@ -96,3 +96,33 @@ def test_conform_fails_on_a_value_that_cannot_be_cast(spark):
     df = spark.createDataFrame([("x", 1, 1.0, 1)], "userId string, productId int, score double, timestamp long")
     with pytest.raises(Exception):
         schemas.conform(df, schemas.RATING).collect()
+
+
+def test_written_tables_leave_no_shuffle_files(spark, tmp_path):
+    """Neither staged nor stored ones, also when threads write beside each other; a table can be read again after."""
+    import time
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark.sql import functions as F
+
+    from basketry import shared
+    from basketry.sinks import tables as sink
+
+    manager = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = manager.getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    before = shuffled()
+    counted = [spark.range(1000).groupBy((F.col("id") % n).alias("k")).count() for n in (7, 8, 9)]
+    with ThreadPoolExecutor(3) as pool:
+        staged = list(pool.map(lambda df: shared.stage(df, "counted"), counted))
+    sink.overwrite(counted[0], str(tmp_path), "counted")
+    for _ in range(40):
+        if not shuffled() - before:
+            break
+        time.sleep(0.25)
+    assert not shuffled() - before
+    assert spark.conf.get(shared._CLEANUP, None) is None
+    assert [df.count() for df in staged] == [7, 8, 9] and counted[0].count() == 7
